@@ -21,29 +21,26 @@ _BACK = 3  # tokens that the overlap may be longer than stated, to begin with a
 
 
 def classify(text: str, path: str) -> tuple[bytes, np.ndarray]:
-    """The class letter of each token of text, and how many characters end within the first tokens."""
+    """The class letter of each token of text; twice the bytes up to each token's end, plus 1 where a character ends."""
     enc = tokens.encoding(path)
     ids = np.array(enc.encode_ordinary(text), np.int64)
     ends = np.cumsum(tokens.widths(path)[ids])
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    width = 1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF)
-    stops = np.cumsum(width)
+    stops = np.cumsum(1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF))
     chars = np.searchsorted(stops, ends, side="right")
-    whole = stops[np.maximum(chars, 1) - 1] == ends
-    kind = np.ones(len(ids), np.uint8)
-    last = cp[np.maximum(chars, 1) - 1]
-    after = np.append(cp, 32)[chars]
-    space = _SPACE[np.minimum(after, 0x3000)] & (after <= 0x3000)
-    blank = _SPACE[np.minimum(last, 0x3000)] & (last <= 0x3000)
-    kind[space | blank] = 2
-    kind = np.maximum(kind, _CLASS[last])
-    dot = (last == 46) & ~space  # a full stop within a number or name
-    kind[dot] = 1
-    two = (kind == 5) & (chars > 1) & (_CLASS[cp[np.maximum(chars - 2, 0)]] == 5) & ~((last == 10) & (cp[np.maximum(chars - 2, 0)] == 13))
-    kind[two] = 6
-    kind[(kind == 5) & (_CLASS[np.minimum(after, 0x10FFFF)] == 5)] = 2  # between two line ends
+    at = np.maximum(chars, 1) - 1
+    whole = stops[at] == ends
+    strength = _CLASS[cp]
+    space = np.append(_SPACE[np.minimum(cp, 0x3000)], True)
+    last, before = strength[at], strength[np.maximum(at - 1, 0)]
+    kind = np.where(space[chars] | space[at], 2, 1)
+    kind = np.maximum(kind, last)
+    kind[(cp[at] == 46) & ~space[chars]] = 1  # a full stop within a number or name
+    line = last == 5
+    kind[line & (chars > 1) & (before == 5) & ~((cp[at] == 10) & (cp[np.maximum(at - 1, 0)] == 13))] = 6
+    kind[line & (np.append(strength, 0)[chars] == 5)] = 2  # between two line ends
     kind[~whole] = 0
-    return np.frombuffer(CLASSES.encode(), np.uint8)[kind].tobytes(), chars.astype(np.int32)
+    return np.frombuffer(CLASSES.encode(), np.uint8)[kind].tobytes(), (ends * 2 + whole).astype(np.int32)
 
 
 def pattern(limit: int, overlap: int) -> str:
@@ -59,29 +56,31 @@ def pattern(limit: int, overlap: int) -> str:
     return f"^(?:{part(limit)})|(?:{part(later)})" if overlap else part(limit)
 
 
-def _pieces(limit: int, overlap: int) -> Column:
-    """array<struct<start, stop>> in tokens from the column `k` of class letters."""
+def _pieces(limit_id: int, limit: int, overlap: int) -> Column:
+    """array<struct<limit_id, piece, start, stop>> in tokens from the column `k` of class letters; `e` has the ends."""
     size = F.transform(F.regexp_extract_all("k", F.lit(pattern(limit, overlap)), F.lit(0)), F.length)
-    stops = F.aggregate(size, F.array().cast("array<int>"), lambda a, n: F.concat(a, F.array(n + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)))))
+    size = F.when(F.length("k") > limit, size).otherwise(F.array().cast("array<int>"))
+    stops = F.aggregate(size, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(n + F.element_at(a, -1))))
 
-    def one(stop: Column, i: Column) -> Column:
-        own = F.when(i == 0, 0).otherwise(F.get(F.col("_stops"), i - 1))
+    def start(own: Column) -> Column:
         back = F.greatest(F.lit(0), own - overlap)
-        whole = F.when((i == 0) | (back == 0), back).otherwise(back - F.length(F.regexp_extract(F.substring(F.col("k"), F.greatest(F.lit(1), back - _BACK + 1), F.least(back, F.lit(_BACK))), r"(z*)$", 1)))
-        return F.struct(whole.alias("start"), stop.alias("stop"))
+        inside = lambda i: F.coalesce(F.get("e", back - i) % 2 == 0, F.lit(False))
+        return back - F.when(~inside(1), 0).when(~inside(2), 1).when(~inside(3), 2).otherwise(3)
 
-    return stops, one
+    both = F.arrays_zip(F.slice(stops, 1, F.size(stops) - 1).alias("a"), F.slice(stops, 2, F.size(stops)).alias("b"))
+    return F.transform(both, lambda x, i: F.struct(F.lit(limit_id).cast("long").alias("limit_id"), i.alias("piece"), F.when(i == 0, 0).otherwise(start(x["a"])).alias("start"), x["b"].alias("stop")))
 
 
 def cut_texts(docs: DataFrame, doc: str, text: str, limits: list[tuple[int, int, int]], path: str) -> DataFrame:
-    """(limit_id, doc_id, piece, from_char, n_chars, n_tokens, piece_text) of the texts that exceed a limit.
+    """(limit_id, doc_id, piece, from_byte, n_tokens, piece_text) of the texts that exceed a limit.
 
     limits: (limit_id, most tokens, overlap tokens). A text is turned into one letter a token: what kind of
     boundary follows it. A regular expression with bounded quantifiers eats that string piece by piece: up to the
     end, else the strongest boundary in the second half of the room, else any whole character. Each piece but the
     first begins the stated overlap earlier (up to three tokens more where a character would be broken), within
-    the limit. Pieces without their overlaps put together are the text. Texts within a limit, empty and null
-    texts have no row for it. Texts need not be unique; pieces are numbered from 0 for each row.
+    the limit. Pieces without their overlaps put together are the text; from_byte counts its UTF-8 bytes. Texts
+    within a limit, empty and null texts have no row for it. Texts need not be unique; pieces are numbered from 0
+    for each row. Every text is tokenized once for all limits.
     """
     if any(o >= m - _BACK for _, m, o in limits):
         raise ValueError("the overlap must be less than the limit")
@@ -90,30 +89,20 @@ def cut_texts(docs: DataFrame, doc: str, text: str, limits: list[tuple[int, int,
     def go(batches):
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
-            at, keep, kinds, chars = [], [], [], []
+            at, keep, kinds, ends = [], [], [], []
             for i, t in enumerate(texts):
-                if t and len(t.encode("utf-8", "surrogatepass")) > least:
-                    k, c = classify(t, path)
+                if t and len(t) * 4 > least:
+                    k, e = classify(t, path)
                     if len(k) > least:
-                        at.append(i), keep.append(t), kinds.append(k.decode()), chars.append(c)
-            lens = np.cumsum([0, *map(len, chars)]).astype(np.int32)
-            values = pa.array(np.concatenate(chars) if chars else np.zeros(0, np.int32))
+                        at.append(i), keep.append(t), kinds.append(k.decode()), ends.append(e)
+            lens = np.cumsum([0, *map(len, ends)]).astype(np.int32)
+            values = pa.array(np.concatenate(ends) if ends else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(keep, pa.string()), pa.array(kinds, pa.string()), pa.ListArray.from_arrays(pa.array(lens), values)], names=["doc_id", "t", "k", "e"])
 
     kind = docs.schema[doc].dataType.simpleString()
     rows = docs.select(doc, text).mapInArrow(go, f"doc_id {kind}, t string, k string, e array<int>")
-    out = None
-    stop_at = {}
-    for i, most, overlap in limits:
-        stops, one = _pieces(most, overlap)
-        stop_at[i] = (stops, one, most)
-    parts = []
-    for i, (stops, one, most) in stop_at.items():
-        r = rows.where(F.length("k") > most).withColumn("_stops", stops).select("doc_id", "t", "e", F.posexplode(F.transform("_stops", one)).alias("piece", "p"))
-        begin = F.when(F.col("p.start") > 0, F.get("e", F.col("p.start") - 1)).otherwise(0)
-        n = F.get("e", F.col("p.stop") - 1) - begin
-        r = r.select(F.lit(i).cast("long").alias("limit_id"), "doc_id", "piece", begin.alias("from_char"), n.alias("n_chars"), (F.col("p.stop") - F.col("p.start")).alias("n_tokens"), F.substring("t", begin + 1, n).alias("piece_text"))
-        parts.append(r)
-    for r in parts:
-        out = r if out is None else out.unionByName(r)
-    return out if out is not None else rows.limit(0).selectExpr("cast(null as long) limit_id", "doc_id", "0 piece", "0 from_char", "0 n_chars", "0 n_tokens", "t piece_text")
+    pieces = F.concat(*[_pieces(*x) for x in limits]) if limits else F.expr("cast(array() as array<struct<limit_id: bigint, piece: int, start: int, stop: int>>)")
+    rows = rows.select("doc_id", "t", "e", F.explode(pieces).alias("p"))
+    to = lambda i: F.coalesce(F.expr(f"get(e, {i} - 1) div 2"), F.lit(0).cast("long"))
+    rows = rows.select("p.limit_id", "doc_id", "p.piece", to("p.start").alias("from_byte"), to("p.stop").alias("_to"), (F.col("p.stop") - F.col("p.start")).alias("n_tokens"), "t")
+    return rows.select("limit_id", "doc_id", "piece", "from_byte", "n_tokens", F.expr("cast(substring(cast(t as binary), int(from_byte) + 1, int(_to - from_byte)) as string)").alias("piece_text"))
