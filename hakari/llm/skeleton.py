@@ -136,17 +136,17 @@ def same_look(rows: DataFrame, record: str, fields: list[str]) -> DataFrame:
     return one.join(values, "value").select("field", "skeleton", "value", "record")
 
 
-def look_alike_pairs(rows: DataFrame, record: str, fields: list[str], salts: int = 16) -> DataFrame:
+def look_alike_pairs(rows: DataFrame, record: str, fields: list[str], per_task: int = 4000) -> DataFrame:
     """(field, record_id_a, record_id_b), a < b: records whose values of a field look the same but differ.
 
-    Only skeletons with two or more different values enter the join; one value's records never meet each other. The
-    side with the records is salted `salts` ways and the other copied to each salt, so a skeleton shared by a
-    large part of all rows is spread over tasks; the result itself has its pairs by definition.
+    Only skeletons with two or more different values enter the join; one value's records never meet each other. A
+    skeleton with many records is spread over as many tasks as it has thousands, the others are not copied; the
+    result itself has its pairs by definition.
     """
-    m = same_look(rows, record, fields)
-    mixed = m.groupBy("field", "skeleton").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).where("lo <> hi").select("field", "skeleton")
-    m = m.join(mixed, ["field", "skeleton"])
-    left = m.withColumn("salt", F.pmod(F.xxhash64("record"), F.lit(salts)))
-    right = m.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))).select("field", "skeleton", "salt", F.col("value").alias("value_b"), F.col("record").alias("record_id_b"))
-    pairs = left.join(right, ["field", "skeleton", "salt"]).where("record < record_id_b and value <> value_b")
+    m = same_look(rows, record, fields).select("field", F.xxhash64("skeleton").alias("s"), F.xxhash64("value").alias("v"), "record")
+    mixed = m.groupBy("field", "s").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    m = m.join(mixed.select("field", "s", F.ceil(F.col("n") / per_task).alias("salts")), ["field", "s"])
+    left = m.withColumn("salt", F.pmod(F.xxhash64("record"), F.col("salts")))
+    right = m.select("field", "s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("v").alias("v_b"), F.col("record").alias("record_id_b"))
+    pairs = left.join(right, ["field", "s", "salt"]).where("record < record_id_b and v <> v_b")
     return pairs.select("field", F.col("record").alias("record_id_a"), "record_id_b").distinct()
