@@ -20,40 +20,47 @@ _SPACE[[i for i in range(0x3001) if chr(i).isspace()]] = True
 _BACK = 3  # tokens that the overlap may be longer than stated, to begin with a whole character
 
 
-def classify(text: str, path: str) -> tuple[bytes, np.ndarray]:
-    """The class letter of each token of text; twice the bytes up to each token's end, plus 1 where a character ends."""
-    enc = tokens.encoding(path)
-    ids = np.array(enc.encode_ordinary(text), np.int64)
-    ends = np.cumsum(tokens.widths(path)[ids])
-    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    stops = np.cumsum(1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF))
-    chars = np.searchsorted(stops, ends, side="right")
-    at = np.maximum(chars, 1) - 1
-    whole = stops[at] == ends
-    strength = _CLASS[cp]
-    space = np.append(_SPACE[np.minimum(cp, 0x3000)], True)
-    last, before = strength[at], strength[np.maximum(at - 1, 0)]
-    kind = np.where(space[chars] | space[at], 2, 1)
-    kind = np.maximum(kind, last)
-    kind[(cp[at] == 46) & ~space[chars]] = 1  # a full stop within a number or name
-    line = last == 5
-    kind[line & (chars > 1) & (before == 5) & ~((cp[at] == 10) & (cp[np.maximum(at - 1, 0)] == 13))] = 6
-    kind[line & (np.append(strength, 0)[chars] == 5)] = 2  # between two line ends
+def classify(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the tokens of some texts, one after another: class letters; twice the bytes up to each token's end within
+    its text, plus 1 where a character ends; and where each text's tokens end."""
+    enc, width = tokens.encoding(path), tokens.widths(path)
+    ids = [np.array(enc.encode_ordinary(t), np.int32) for t in texts]
+    stops = np.cumsum([len(i) for i in ids])
+    ends = np.cumsum(width[np.concatenate(ids)], dtype=np.int64)
+    whole_text = "".join(texts)
+    raw = np.frombuffer(whole_text.encode("utf-8", "surrogatepass"), np.uint8)
+    first = (raw & 0xC0) != 0x80
+    at = np.cumsum(first, dtype=np.int32)[ends - 1] - 1  # the character that each token's last byte belongs to
+    whole = np.append(first, True)[ends]
+    cp = np.frombuffer(whole_text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    strength, space = _CLASS[cp], _SPACE[np.minimum(cp, 0x3000)]
+    after, blank = np.append(strength, 0)[at + 1], np.append(space, True)[at + 1]
+    blank[stops - 1] = True
+    after[stops - 1] = 0
+    last = strength[at]
+    kind = np.maximum(np.where(blank | space[at], 2, 1).astype(np.uint8), last)
+    kind[(cp[at] == 46) & ~blank] = 1  # a full stop within a number or name
+    line = np.flatnonzero(last == 5)
+    here = at[line]
+    back = np.maximum(here - 1, 0)
+    kind[line[(strength[back] == 5) & ~((cp[here] == 10) & (cp[back] == 13))]] = 6
+    kind[line[after[line] == 5]] = 2  # between two line ends
     kind[~whole] = 0
-    return np.frombuffer(CLASSES.encode(), np.uint8)[kind].tobytes(), (ends * 2 + whole).astype(np.int32)
+    begin = np.repeat(np.append(0, ends[stops[:-1] - 1]), np.diff(np.append(0, stops)))
+    return np.frombuffer(CLASSES.encode(), np.uint8)[kind], ((ends - begin) * 2 + whole).astype(np.int32), stops
 
 
 def pattern(limit: int, overlap: int) -> str:
-    """Alternatives by strength of boundary, each up to the limit; a first piece has no overlap to leave room for."""
+    """Alternatives by strength of boundary, each up to the limit; a first piece has no overlap to leave room for.
+    What is left goes whole if it fits; else the second half of the room is searched for each kind of boundary."""
 
     def part(most: int) -> str:
         least = max(0, most // 2 - 1)
-        rest = f".{{1,{most}}}$"
-        strong = [f".{{{least},{most - 1}}}[{c}]" for c in ("p", "lp", "slp", "cslp", "wcslp")]
-        return "|".join([rest, *strong, f".{{0,{most - 1}}}[^z]"])
+        strong = "|".join(f".{{0,{most - 1 - least}}}[{c}]" for c in ("p", "lp", "slp", "cslp", "wcslp"))
+        return f".{{1,{most}}}+$|.{{{least}}}(?:{strong})|.{{0,{most - 1}}}[^z]"
 
     later = limit - overlap - (_BACK if overlap else 0)
-    return f"^(?:{part(limit)})|(?:{part(later)})" if overlap else part(limit)
+    return f"(?s)^(?:{part(limit)})|(?:{part(later)})" if overlap else f"(?s){part(limit)}"
 
 
 def _pieces(limit_id: int, limit: int, overlap: int) -> Column:
@@ -88,19 +95,20 @@ def cut_texts(docs: DataFrame, doc: str, text: str, limits: list[tuple[int, int,
 
     def go(batches):
         for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            at, keep, kinds, ends = [], [], [], []
+            ids, texts, size, group = b.column(0), b.column(1).to_pylist(), 0, []
             for i, t in enumerate(texts):
                 if t and len(t) * 4 > least:
-                    k, e = classify(t, path)
-                    if len(k) > least:
-                        at.append(i), keep.append(t), kinds.append(k.decode()), ends.append(e)
-            lens = np.cumsum([0, *map(len, ends)]).astype(np.int32)
-            values = pa.array(np.concatenate(ends) if ends else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(keep, pa.string()), pa.array(kinds, pa.string()), pa.ListArray.from_arrays(pa.array(lens), values)], names=["doc_id", "t", "k", "e"])
+                    group.append(i)
+                    size += len(t)
+                if group and (size > 4_000_000 or i + 1 == len(texts)):
+                    k, e, stops = classify([texts[j] for j in group], path)
+                    bounds = pa.array(np.append(0, stops).astype(np.int32))
+                    letters = pa.Array.from_buffers(pa.string(), len(group), [None, bounds.buffers()[1], pa.py_buffer(k.tobytes())])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(group, pa.int64())), pa.array([texts[j] for j in group], pa.string()), letters, pa.ListArray.from_arrays(bounds, pa.array(e))], names=["doc_id", "t", "k", "e"])
+                    size, group = 0, []
 
     kind = docs.schema[doc].dataType.simpleString()
-    rows = docs.select(doc, text).mapInArrow(go, f"doc_id {kind}, t string, k string, e array<int>")
+    rows = docs.select(doc, text).mapInArrow(go, f"doc_id {kind}, t string, k string, e array<int>").where(F.length("k") > least)
     pieces = F.concat(*[_pieces(*x) for x in limits]) if limits else F.expr("cast(array() as array<struct<limit_id: bigint, piece: int, start: int, stop: int>>)")
     rows = rows.select("doc_id", "t", "e", F.explode(pieces).alias("p"))
     to = lambda i: F.coalesce(F.expr(f"get(e, {i} - 1) div 2"), F.lit(0).cast("long"))
