@@ -24,7 +24,7 @@ FAMILIES = """
 整形外科 整形外 整形 orthopedics orthopedic
 形成外科 形成外 形成
 皮膚科 皮ふ科 ひふ科 皮膚 皮ふ skin dermatology
-小児科 小児 こどもクリニック pediatrics
+小児科 小児 こども pediatrics
 耳鼻咽喉科 耳鼻科 耳鼻咽喉 耳鼻 咽喉 ent
 産婦人科 産婦人 産婦 婦人科 産科 women
 泌尿器科 泌尿器 泌尿 urology
@@ -34,7 +34,7 @@ FAMILIES = """
 歯科 デンタル dental 歯
 口腔外科 口腔外 口腔
 眼科 eye 眼
-内科 内
+内科 内 internalmedicine internal
 外科 外
 """
 # Usual readings of characters in family names.
