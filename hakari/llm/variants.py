@@ -23,7 +23,7 @@ def profiles(rows: DataFrame) -> DataFrame:
     def go(batches):
         for b in batches:
             look, grams, depts = [], [], []
-            for n in b.column(1).to_pylist():
+            for n in b.column(b.schema.get_field_index("name")).to_pylist():
                 if not n:
                     look.append(None), grams.append([]), depts.append(0)
                     continue
