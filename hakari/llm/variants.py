@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
+from ..session import cut
 from .names import FAMILIES, parts
 from .skeleton import skeleton
 
@@ -80,7 +80,7 @@ def entities(rows: DataFrame, contexts: dict[str, bool]) -> DataFrame:
     Null contexts link nothing; rows without a name can only be linked by a context that outweighs it. Null
     records are left out; records delivered again count once.
     """
-    r = profiles(rows.where("record is not null")).persist(StorageLevel.MEMORY_AND_DISK)
+    r = cut(profiles(rows.where("record is not null")))
     links = None
 
     def add(x: DataFrame) -> None:
@@ -95,10 +95,10 @@ def entities(rows: DataFrame, contexts: dict[str, bool]) -> DataFrame:
     if loose:
         blocks = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), F.col(c))) for c in loose]))
         e = r.where("size(grams) > 0").select(F.explode(blocks).alias("block"), "record", "grams", "depts", "code")
-        same = e.groupBy("block", "grams", "depts", "code").agg(F.min("record").alias("id"))
+        same = cut(e.groupBy("block", "grams", "depts", "code").agg(F.min("record").alias("id")))
         add(_copies(e, same))
         several = same.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
-        add(similar_in_blocks(same.join(several, "block"), gram_weights(r)))
+        add(similar_in_blocks(same.join(several, "block"), cut(gram_weights(r))))
     comp = components(links, "a", "b")
     return r.select("record", "look").distinct().join(comp, F.col("record") == F.col("node"), "left").select("record", "look", F.coalesce("component", "record").alias("entity"))
 
