@@ -8,24 +8,31 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component): each node of a link and the smallest node it is connected to.
 
-    Every round each node takes the smallest label among itself and its neighbours, then the label of its
-    label (pointer jumping), so the rounds grow with the logarithm of the longest chain. Labels are spread with
-    min() under partial aggregation: a node with very many links is combined before the shuffle. Each
-    round is written to the checkpoint folder. Empty links give an empty table; null ends are dropped; self
-    links give a component of one node. Raises if `rounds` don't suffice, rather than return parts.
+    Every node takes the smallest of itself and its neighbours as label, then the links are contracted to links
+    between unlike labels; that is repeated on what is left, which after the first round is only what chains of
+    links leave over. At last the labels are followed back. Labels are made by min() under partial aggregation: a
+    node with very many links is combined before the shuffle. Each round is written to the checkpoint folder.
+    Empty links give an empty table; null ends and links to itself say nothing and are dropped. Raises if
+    `rounds` don't suffice, rather than return parts.
     """
-    e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
-    e = cut(e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    label = cut(e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("c")))
-    for _ in range(rounds):
-        near = e.join(label.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("c").alias("n"))
-        step = label.join(near, "u").select("u", F.col("c").alias("old"), F.least("c", "n").alias("c"))
-        jump = label.select(F.col("u").alias("c"), F.col("c").alias("j"))
-        step = cut(step.join(jump, "c", "left").select("u", "old", F.least("c", F.coalesce("j", "c")).alias("c")))
-        if not step.where("old <> c").limit(1).count():
-            return step.select(F.col("u").alias("node"), F.col("c").alias("component"))
-        label = step.select("u", "c")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+    pair = lambda x, y: [F.least(x, y).alias("u"), F.greatest(x, y).alias("v")]
+    e = cut(links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*pair(F.col(a), F.col(b))).where("u < v").distinct())
+    labels = []
+    while e.limit(1).count():
+        if len(labels) == rounds:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
+        near = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        label = cut(near.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("c")).select("node", F.least("node", "c").alias("c")))
+        labels.append(label)
+        one = lambda k: label.select(F.col("node").alias(k), F.col("c").alias(f"c{k}")).hint("merge")  # noqa: B023, E731
+        e = cut(e.join(one("u"), "u").join(one("v"), "v").where("cu <> cv").select(*pair(F.col("cu"), F.col("cv"))).distinct())
+    if not labels:
+        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    done = labels.pop().select("node", F.col("c").alias("component"))
+    for label in reversed(labels):
+        then = done.select(F.col("node").alias("c"), "component")
+        done = label.join(then, "c", "left").select("node", F.coalesce("component", "c").alias("component"))
+    return done

@@ -1 +1 @@
-"""Readers and writers."""
+"""Readers, writers and pluggable search and page sources."""
