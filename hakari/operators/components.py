@@ -19,7 +19,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     `rounds` don't suffice, rather than return parts.
     """
     pair = lambda x, y: [F.least(x, y).alias("u"), F.greatest(x, y).alias("v")]
-    e = cut(links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*pair(F.col(a), F.col(b))).where("u < v").distinct())
+    e = cut(links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*pair(F.col(a), F.col(b))).where("u < v").distinct(), forget=True)
     labels = []
     while e.limit(1).count():
         if len(labels) == rounds:
@@ -28,7 +28,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         label = cut(near.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("c")).select("node", F.least("node", "c").alias("c")))
         labels.append(label)
         one = lambda k: label.select(F.col("node").alias(k), F.col("c").alias(f"c{k}")).hint("merge")  # noqa: B023, E731
-        e = cut(e.join(one("u"), "u").join(one("v"), "v").where("cu <> cv").select(*pair(F.col("cu"), F.col("cv"))).distinct())
+        e = cut(e.join(one("u"), "u").join(one("v"), "v").where("cu <> cv").select(*pair(F.col("cu"), F.col("cv"))).distinct(), forget=True)
     if not labels:
         return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     done = labels.pop().select("node", F.col("c").alias("component"))

@@ -35,9 +35,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, forget: bool = False) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there.
 
+    A checkpoint keeps the size that the optimizer guessed. In a loop of joins the guess is squared each round, until
+    its digits fill the memory; with `forget` the result has no guess (and no known partitioning either).
+
     The folder is the session's spark.checkpoint.dir. Only where that is unset (tests, local runs) a folder
     of this machine is set. The files are replicated by the shared store, so lost executors cost nothing.
     """
@@ -46,4 +49,9 @@ def cut(df: DataFrame) -> DataFrame:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), "hakari-checkpoints"))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    if not forget:
+        return done
+    spark = df.sparkSession
+    jdf = done._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(jdf.queryExecution().toRdd(), jdf.schema(), False), spark)
