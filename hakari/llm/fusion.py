@@ -67,6 +67,23 @@ def _dependence(kt, kf, kd, acc) -> np.ndarray:
     return 1 / (1 + (1 - PRIOR) / PRIOR * np.exp(np.clip(log, -50, 50)))
 
 
+def _start(both: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Accuracies and dependences to begin with, from agreement alone, so that many copies of a poor source don't pass
+    for a majority: independent sources agree as often as their accuracies make it likely, copies more often."""
+    n = len(both)
+    rate = np.divide(same, both, out=np.full((n, n), np.nan), where=both > 0)
+    acc = np.full(n, 0.8)
+    for _ in range(20):
+        ratio = rate / acc[None, :]
+        acc = np.array([np.clip(np.nanquantile(r, 1 / 3), 0.05, 0.95) if np.isfinite(r).any() else 0.8 for r in ratio]) * 0.5 + acc * 0.5
+    alone = np.clip(acc[:, None] * acc[None, :] + (1 - acc[:, None]) * (1 - acc[None, :]) / N_FALSE, 0.01, 0.99)
+    copied = alone + (1 - alone) * COPIED
+    log = same * np.log(alone / copied) + (both - same) * np.log((1 - alone) / (1 - copied))
+    dep = 1 / (1 + (1 - PRIOR) / PRIOR * np.exp(np.clip(log, -50, 50)))
+    np.fill_diagonal(dep, 0)
+    return acc, np.where(both > 0, dep, 0.0)
+
+
 def _vote_udf(acc: np.ndarray, dep: np.ndarray):
     """Weight of the sources that claim one value; a source's vote is discounted by the sources counted before it."""
     score = np.log(N_FALSE * np.clip(acc, 0.05, 0.95) / (1 - np.clip(acc, 0.05, 0.95)))
@@ -99,8 +116,8 @@ def fuse(claims: DataFrame, rounds: int = 2, most_sources: int = 1024) -> DataFr
     n = max(1, len(names))
     ids = F.create_map(*[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(i))]) if names else F.lit(None).cast("map<string,int>")
     votes = cut(base.groupBy("object", "value").agg(F.array_sort(F.collect_set(F.try_element_at(ids, F.col("source")))).alias("s")))
-    acc, dep = np.full(n, 0.8), np.zeros((n, n))
     both = _pairs(votes.groupBy("object").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("s")).withColumn("p", F.lit(1.0)), n)[0]
+    acc, dep = _start(both, _pairs(votes.withColumn("p", F.lit(1.0)), n)[0])
 
     def posterior():
         scored = votes.withColumn("v", _vote_udf(acc, dep)("s"))

@@ -83,6 +83,8 @@ def pack(sizes: DataFrame, capacities: list[tuple[int, int]], per_bucket: int =
     that a third of all items share is not gathered in one task. Null items and sizes are left out; an item
     given twice is two items of the same name.
     """
+    if not capacities:
+        return sizes.limit(0).selectExpr("0L limit_id", "0L container", "doc", "0L part", "0L from_token", "n_tokens")
     limits = F.array(*[F.struct(F.lit(i).cast("long").alias("limit_id"), F.lit(c).cast("long").alias("cap")) for i, c in capacities])
     s = cut(sizes.where("doc is not null and n_tokens is not null"))
     each = s.select("doc", "n_tokens", F.explode(limits).alias("l")).select("doc", "n_tokens", "l.*")
@@ -109,9 +111,7 @@ def pack(sizes: DataFrame, capacities: list[tuple[int, int]], per_bucket: int =
     ranked = ranked.join(sums, ["limit_id", "length", "b"]).withColumn("rank", F.col("r") + F.col("before"))
     slot = ranked.join(planned, ["limit_id", "length"], "left").withColumn("p", F.element_at(F.filter("plan", lambda x: x.k <= F.col("rank")), -1))
     placed = slot.select("limit_id", F.coalesce(F.expr("p.first + (rank - p.k) div p.each"), F.lit(0)).alias("container"), "doc", F.col("whole").alias("part"), (F.col("whole") * F.col("cap")).alias("from_token"), F.col("length").alias("n_tokens"))
-    start = F.create_map(*[F.lit(x).cast("long") for i, c in top.items() for x in (i, c)]) if top else None
-    if start is None:
-        return placed
+    start = F.create_map(*[F.lit(x).cast("long") for i, c in top.items() for x in (i, c)])
     big = each.where("whole > 0")
     bucket = big.withColumn("b", F.pmod(F.xxhash64("doc"), F.lit(1024)))
     offs = bucket.groupBy("limit_id", "b").agg(F.sum("whole").alias("n")).selectExpr("limit_id", "b", "sum(n) over (partition by limit_id order by b) - n as before")
