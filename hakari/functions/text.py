@@ -13,6 +13,10 @@ from pyspark.sql.types import StringType
 from .. import rules
 from .width import strip
 
+#: Legal forms of the earlier name key: one less.
+LEGAL_FORMS_EARLY = rules.LEGAL_FORMS[:-1]
+
+
 _DIGIT = {c: str(i) for i, c in enumerate("〇一二三四五六七八九")} | {"零": "0"}
 _BEFORE_UNIT = re.compile("[〇零一二三四五六七八九十]+(?=丁目|丁|番地|番|号|条)")
 
@@ -73,6 +77,11 @@ def city_part(folded: Column) -> Column:
     return F.coalesce(*found, F.substring(folded, 1, 6))
 
 
+def city_part_early(folded: Column) -> Column:
+    """The earlier city: with ward, else up to the first of city, ward, town and village; else six characters."""
+    return F.coalesce(F.nullif(F.regexp_extract(folded, "^(.+?市.+?区|.+?[市区町村])", 1), F.lit("")), F.substring(folded, 1, 6))
+
+
 def numeral(text: str) -> str:
     """Chinese numerals as digits, by place or with 十: 二十三, 二三 and 二〇 are 23, 23 and 20."""
     value, open_unit = 0, False

@@ -88,3 +88,28 @@ def backfill_unique(rows: DataFrame, base: DataFrame, keys: list[tuple[Column, C
         out = out.withColumn("_m", mine).join(only, F.col("_m") == F.col(f"_k{i}"), "left")
         out = out.withColumn("_got", F.coalesce("_got", "_s")).drop("_m", "_s", f"_k{i}")
     return out.withColumn(target, F.col("_got")).drop("_got")
+
+
+def duplicate_report(rows: DataFrame, kind: str, key: str, name: str, order: str, most: int = 20) -> DataFrame:
+    """(kind, key, n, names) of keys on two or more rows; names are the first `most` by `order`, by rank, so that no
+    group is collected whole."""
+    groups = rows.groupBy(kind, key).agg(F.count("*").alias("n")).where("n > 1")
+    r = rows.join(groups.select(F.col(kind).alias("_a"), F.col(key).alias("_b")), F.col(kind).eqNullSafe(F.col("_a")) & F.col(key).eqNullSafe(F.col("_b")), "left_semi")
+    r = r.withColumn("_k", F.row_number().over(Window.partitionBy(kind, key).orderBy(order))).where(F.col("_k") <= most)
+    names = r.groupBy(F.col(kind).alias("_a"), F.col(key).alias("_b")).agg(F.array_sort(F.collect_list(F.struct("_k", F.coalesce(F.col(name), F.lit("")).alias("v")))).alias("x"))
+    out = groups.join(names, F.col(kind).eqNullSafe(F.col("_a")) & F.col(key).eqNullSafe(F.col("_b")))
+    return out.select(kind, key, "n", F.transform("x", lambda x: x.v).alias("names"))
+
+
+def repaired(found: DataFrame, verified: DataFrame, details: DataFrame, base: DataFrame, record: str, code: str, name_addr: str) -> dict[str, DataFrame]:
+    """The three kept tables with record ids filled in: search results by code, then name and address; verified rows by
+    code only; both without what stays unknown; details by code, and only those of surviving records."""
+    c = lambda k: F.coalesce(F.col(k), F.lit(""))
+    by_code, by_name = (c(code), c(code)), (c(name_addr), c(name_addr))
+    known = lambda d: d.where(F.col(record).isNotNull())
+    kept = known(backfill_unique(verified, base, [by_code], record, record))
+    return {
+        "found": known(backfill_unique(found, base, [by_code, by_name], record, record)),
+        "verified": kept,
+        "details": known(backfill_unique(details, base, [by_code], record, record)).join(kept.select(record).distinct(), record, "left_semi"),
+    }

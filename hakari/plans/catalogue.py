@@ -140,6 +140,12 @@ def dedup_groups_early(spark, folder):
     return RS.duplicate_groups_early(w, "kk", "ky", "rid", "url", "rid").select("rid", "dup_gid", "is_rep")
 
 
+@query(f"""with {_W}, {_KEY}, x as (select key_kind, "key", coalesce(name,'') nm, row_number() over (partition by key_kind, "key" order by rid) k from d)
+select key_kind, "key", count(*) n, list(nm order by k) filter (k <= 20) as names from x group by 1, 2 having count(*) > 1""")
+def duplicate_report(spark, folder):
+    return RS.duplicate_report(keyed(spark, folder), "key_kind", "key", "name", "rid")
+
+
 _FLAGS = f"""f as (select *, count(*) over (partition by norm) cn, count(*) over (partition by substr({_D('zip')},1,7), coalesce(addr,'')) ca, substr({_D('zip')},1,7) z7 from %s),
 fl as (select *, concat_ws('／', case when cn > 1 then '同名別施設あり' end, case when z7 <> '' and ca > 1 then '同一住所に別施設あり' end) warn from f)"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,4 +116,21 @@ def swap(df: DataFrame, path: str) -> None:
     fs.delete(old, True)
 
 
+def write_hosts(hosts: DataFrame, path: str, title: str) -> None:
+    """One file of hosts, one a line, under a comment; it can be read by read_hosts."""
+    spark = hosts.sparkSession
+    head = spark.createDataFrame([(0, f"# {title}")], "k int, value string")
+    lines = hosts.where("host is not null").select(F.lit(1).alias("k"), F.col("host").alias("value"))
+    head.unionByName(lines).repartition(1).sortWithinPartitions("k", "value").select("value").write.text(path)
+
+
+def unless_there(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at path; it is made and written first unless a finished one is there."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if not mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 HIT = StructType([StructField(n, StringType()) for n in ("url", "title", "snippet")])

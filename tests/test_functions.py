@@ -47,6 +47,7 @@ def test_addresses(spark):
     check(spark, f, [("羽村市本町1", "羽村市"), ("甲市乙区丙町2", "甲市乙区"), ("四日市市諏訪", "四日市"), ("港区芝3", "港区"), ("なにもない", "なにもない"), (None, "")])
     g = lambda c: text.address_numbers(text.nfkc(c))
     check(spark, g, [("甲市二丁目6番1号", ["2", "6", "1"]), ("甲市三崎町５－４－３－２－１", ["5", "4", "3", "2"]), ("", []), (None, [])])
+    check(spark, lambda c: text.city_part_early(text.nfkc(c)), [("羽村市本町1", "羽村"), ("甲市乙区丙町2", "甲市乙区"), ("丙町2", "丙町"), (None, "")])
     check(spark, lambda n, a: text.search_query(text.nfkc(n), text.nfkc(a)), [((" 山田医院 ", "甲市乙1"), "山田医院 甲市 公式サイト")])
 
 
@@ -98,3 +99,9 @@ def test_pages(spark):
     assert html.hours_of("<p>診療時間 月 9:00〜12:00</p>")[1] and html.hours_of(None) == ([], []) and html.hours_of("<table>9:00</table>") == ([], [])
     got = values(spark, [(table,), (None,)], html.opening_hours)
     assert got[0].tables == ["月 | 9:00-12:00 |"] and got[1].tables == []
+
+
+def test_page_or_subpage(spark):
+    table = "<table><tr><td>月</td><td>9:00-12:00</td></tr></table>"
+    got = values(spark, [(table, table), ("", table), ("", None)], lambda a, b: html.page_or_subpage(html.opening_hours(a), F.lit("own"), F.when(b.isNotNull(), html.opening_hours(b)), F.lit("sub")))
+    assert [r.source for r in got] == ["own", "sub", ""]

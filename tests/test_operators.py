@@ -209,3 +209,19 @@ def test_stream_resumes(spark, tmp_path):
     go()
     go()
     assert rows(spark.read.parquet(out), "k") == [("a",), ("b",), ("c",)]
+
+
+def test_report_repair_and_markers(spark, tmp_path):
+    d = spark.createDataFrame([("A", "1", "x", 1), ("A", "1", None, 2), ("A", "2", "y", 3), (None, None, "n", 4), (None, None, "m", 5)], "kind string, key string, name string, o int")
+    assert rows(resolve.duplicate_report(d, "kind", "key", "name", "o"), "kind", "n", "names") == [("A", 2, ["x", ""]), (None, 2, ["n", "m"])]
+    base = spark.createDataFrame([("1", "c", "n"), ("2", "d", "m"), ("3", "d", "k")], "rid string, code string, na string")
+    lost = spark.createDataFrame([(None, "c", "n"), (None, "d", "m"), (None, "", "zz"), ("7", "", "")], "rid string, code string, na string")
+    got = resolve.repaired(lost, lost, lost, base, "rid", "code", "na")
+    assert [rows(got[k], "rid") for k in ("found", "verified", "details")] == [[("1",), ("2",), ("7",)], [("1",), ("7",)], [("1",), ("7",)]]
+    made = []
+    make = lambda: made.append(1) or spark.range(2)
+    for _ in range(2):
+        assert S.unless_there(spark, str(tmp_path / "m"), make).count() == 2
+    assert made == [1]
+    S.write_hosts(spark.createDataFrame([("b.example",), ("a.example",)], "host string"), str(tmp_path / "h"), "hosts")
+    assert rows(S.read_hosts(spark, str(tmp_path / "h")), "host") == [("a.example",), ("b.example",)]
