@@ -119,7 +119,7 @@ class Prints:
             yield self.ids[n], total, len(self.codes[n])
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc: str, doc_text: str, item: str, item_text: str, share: float = 0.42, block: int = 20_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, doc: str, doc_text: str, item: str, item_text: str, share: float = 0.38, block: int = 20_000) -> DataFrame:
     """(item_id, doc_id, share): the documents that hold at least `share` of an item's text in long shared spans.
 
     Winnowing: from each window of WINDOW k-grams the least hash is kept, in both tables, so every shared span of

@@ -205,6 +205,9 @@ def test_matches_against_brute_force(spark, small, monkeypatch):
     got, whole = pairs(), matching.hashed
     monkeypatch.setattr(matching, "hashed", lambda *a: whole(*a).withColumn("keys", F.array(F.lit(1).cast("long"))))
     every = pairs()
+    split = matching._refined
+    monkeypatch.setattr(matching, "_refined", lambda k, r: split(k, r, 1))
+    assert pairs() == every
     assert got <= every and len(got) >= 0.9 * len(every) > 0
 
 
