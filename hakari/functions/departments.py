@@ -17,17 +17,19 @@ def departments(folded: Column, names: list[str] = NAMES) -> Column:
     """Department names in an NFKC text, longest first; what one name has taken no other can take.
 
     A name that does not occur unmasked any more is passed over; each is named once. All in built-in expressions:
-    the text is masked step by step while the names are folded over it.
+    the text is masked step by step while the names that occur in it are folded over it.
     """
-    words = F.array(*map(F.lit, names))
-    start = F.struct(folded.alias("t"), F.array().cast("array<string>").alias("found"))
 
     def step(z: Column, w: Column) -> Column:
-        at = F.locate_expr(w, z.t) if hasattr(F, "locate_expr") else F.position(w, z.t)
+        at = F.position(w, z.t)
         hit = F.struct(F.overlay(z.t, F.repeat(F.lit(_MASK), F.length(w)), at).alias("t"), F.array_append(z.found, w).alias("found"))
         return F.when(at > 0, hit).otherwise(z)
 
-    return F.aggregate(words, start, step, lambda z: z.found)
+    def one(t: Column) -> Column:
+        words = F.array_compact(F.array(*[F.when(t.contains(w), F.lit(w)) for w in names]))
+        return F.aggregate(words, F.struct(t.alias("t"), F.array().cast("array<string>").alias("found")), step, lambda z: z.found)
+
+    return F.element_at(F.transform(F.array(folded), one), 1)  # so that the text is made once, whatever it comes from
 
 
 def page_departments(html: Column) -> Column:
