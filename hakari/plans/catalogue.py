@@ -141,9 +141,9 @@ def dedup_groups_early(spark, folder):
 
 
 @query(f"""with {_W}, {_KEY}, x as (select key_kind, "key", coalesce(name,'') nm, row_number() over (partition by key_kind, "key" order by rid) k from d)
-select key_kind, "key", count(*) n, list(nm order by k) filter (k <= 20) as names from x group by 1, 2 having count(*) > 1""")
+select key_kind, "key", count(*) n, string_agg(nm, ' / ' order by k) filter (k <= 20) as names from x group by 1, 2 having count(*) > 1""")
 def duplicate_report(spark, folder):
-    return RS.duplicate_report(keyed(spark, folder), "key_kind", "key", "name", "rid")
+    return RS.duplicate_report(keyed(spark, folder), "key_kind", "key", "name", "rid").withColumn("names", F.array_join("names", " / "))
 
 
 _FLAGS = f"""f as (select *, count(*) over (partition by norm) cn, count(*) over (partition by substr({_D('zip')},1,7), coalesce(addr,'')) ca, substr({_D('zip')},1,7) z7 from %s),
@@ -307,9 +307,9 @@ def qa_top_hosts(spark, folder):
 
 @query(f"""with {_HIGH}, s as (select "{URL}" url, count(*) n from h group by 1 having count(*) >= 5 order by n desc, url limit 10),
 e as (select "{URL}" url, "{NAME}" nm, row_number() over (partition by "{URL}" order by "{ID}", "出力日時") k from h)
-select s.url, s.n, list(e.nm order by k) filter (k <= 3) as examples from s join e using (url) group by s.url, s.n""")
+select s.url, s.n, string_agg(e.nm, ' / ' order by k) filter (k <= 3) as examples from s join e using (url) group by s.url, s.n""")
 def qa_shared_urls(spark, folder):
-    return R.shared_values(_high(spark, folder), F.col(URL), F.col(NAME), F.struct(F.col(ID), F.col("出力日時")), "url")
+    return R.shared_values(_high(spark, folder), F.col(URL), F.col(NAME), F.struct(F.col(ID), F.col("出力日時")), "url").withColumn("examples", F.array_join("examples", " / "))
 
 
 @query(f"""with {_HIGH} select "{ID}" rid, "{URL}" url from h where {_blocked_sql('"' + URL + '"')} or {_HOST('"' + URL + '"')} in (select lower(trim(host)) from extra_blocked where trim(host) <> '' and not starts_with(host, '#'))""")
@@ -325,9 +325,9 @@ def qa_coverage(spark, folder):
 @query(f"""with {_HIGH}, b as (select hst host, coalesce("{NAME}",'') nm, coalesce("{PREF}",'') pf from h where hst <> '' and not {_blocked_sql('"' + URL + '"')}),
 g as (select host, count(distinct nm) n_names, count(distinct pf) n_prefs from b group by 1 having count(distinct nm) >= 20),
 x as (select host, nm, row_number() over (partition by host order by nm) k from (select distinct host, nm from b))
-select g.host, n_names, n_prefs, list(nm order by nm) filter (k <= 3) as examples from g join x using (host) group by all""")
+select g.host, n_names, n_prefs, string_agg(nm, ' / ' order by nm) filter (k <= 3) as examples from g join x using (host) group by all""")
 def portal_hosts(spark, folder):
-    return I.portal_hosts(_high(spark, folder), U.host(F.col(URL)), F.col(NAME), F.col(PREF), U.blocked(F.col(URL)), rules.PORTAL_LEAST)
+    return I.portal_hosts(_high(spark, folder), U.host(F.col(URL)), F.col(NAME), F.col(PREF), U.blocked(F.col(URL)), rules.PORTAL_LEAST).withColumn("examples", F.array_join("examples", " / "))
 
 
 @query(f"""select {_STRIP('"' + ID + '"::varchar')} as "{ID}", {_STRIP('"' + URL + '"')} as "ウェブサイトURL", {_STRIP('"' + ADDR + '"')} as "住所", '' as "休診日" from output_rows
@@ -411,9 +411,9 @@ def details_of_documents(spark, folder):
     return DT.details(d.select("record", "name", "h.tables", "h.context", "found")).drop("tables", "context", "found")
 
 
-@query("""select doc_id, regexp_extract_all(coalesce(text,''), '[0-9]+')[1:4] as runs from documents""")
+@query("""select doc_id, array_to_string(regexp_extract_all(coalesce(text,''), '[0-9]+')[1:4], '-') as runs from documents""")
 def digit_runs(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("([0-9]+)"), 1), 1, 4).alias("runs"))
+    return table(spark, folder, "documents").select("doc_id", F.array_join(F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("([0-9]+)"), 1), 1, 4), "-").alias("runs"))
 
 
 @query("""select doc_id, len(regexp_extract_all(coalesce(text,''), '(?i)href=[\"'']([^\"'']+)[\"'']', 1)) as n_links from documents""")
