@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -27,7 +28,9 @@ _FOLD = _Folder()
 
 
 def folded(text: str | None) -> str:
-    """One writing for width, case, blanks, line ends, punctuation and markup signs."""
+    """One writing for width, case, blanks, line ends, punctuation, tags and markup signs."""
+    if text and "<" in text:
+        text = re.sub(r"</?[A-Za-z][^<>]{0,200}>", " ", text)
     return unicodedata.normalize("NFKC", text or "").lower().translate(_FOLD)
 
 

@@ -92,7 +92,7 @@ def prototypes() -> dict[int, str]:
     for i in range(sys.maxunicode + 1):
         c, kind = chr(i), unicodedata.category(chr(i))
         tag = unicodedata.decomposition(c)
-        if kind == "Zs" or c in "\t\n\r\x0b\x0c":
+        if kind in ("Zs", "Zl", "Zp") or c in "\t\n\r\x0b\x0c":
             to[i] = " "
         elif kind == "Cf" or 0xFE00 <= i <= 0xFE0F or 0xE0100 <= i <= 0xE01EF or 0x180B <= i <= 0x180F or i in (0x34F, 0x115F, 0x1160, 0x3164, 0xFFA0):
             to[i] = ""
