@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
+from .width import narrow
 
 
 def host(url: Column) -> Column:
@@ -14,6 +15,15 @@ def host(url: Column) -> Column:
     return F.split(F.lower(F.split(bare, "/")[0]), ":")[0]
 
 
+def named_hosts(field: Column) -> Column:
+    """The distinct hosts that a field of one or several addresses in any writing names, in its order; none for null,
+    blanks and fillers. Narrow, lower case, without scheme, user, leading www., port, final dots and path."""
+    parts = F.split(F.lower(narrow(F.coalesce(field, F.lit("")))), r"(?U)[\s、，,;|｜；<>()\"']+")
+    at = F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(x, r"^[a-z][a-z0-9+.\-]*:/+", ""), r"[/?#\\].*$", ""))
+    bare = F.transform(at, lambda x: F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"^.*@|:\d*$", ""), r"\.+$", ""), r"^www\.", ""))
+    return F.array_distinct(F.filter(bare, lambda h: h.rlike(r"(?U)^[\w\-]+(\.[\w\-]+)+$")))
+
+
 def blocked(url: Column, extra: list[str] | None = None, rule=rules) -> Column:
     """Whether a URL is of a portal: an extra host, a blocked suffix or word, or a blocked domain or one under it."""
     h = host(url)

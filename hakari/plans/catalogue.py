@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -376,11 +376,27 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
     return d.groupBy("host").agg(F.max_by("text", F.struct("n_chars", "doc_id")).alias("html")).withColumnRenamed("host", "url")
 
 
+def _judged_records(spark: SparkSession, folder: str) -> DataFrame:
+    """(record, name, addr, phone) of both lists, which share no record; work_rows has no telephone."""
+    w = work(spark, folder).select(F.col("rid").alias("record"), "name", "addr", F.lit(None).cast("string").alias("phone"))
+    p = table(spark, folder, "prepared_rows").select(F.col(ID).alias("record"), F.col(NAME).alias("name"), F.col("住所").alias("addr"), F.col("電話番号").alias("phone"))
+    return w.unionByName(p).distinct()
+
+
+def _judged_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """(record, idx, url): each host that a record's own URL or its output names, once: its own first, then the latest."""
+    c, never = F.col, F.lit(None).cast("timestamp")
+    own = [table(spark, folder, t).select(c(ID).alias("record"), F.lit(0).alias("src"), never.alias("at"), c(URL).alias("u")) for t in ("work_rows", "prepared_rows")]
+    out = table(spark, folder, "output_rows").select(c(ID).alias("record"), F.lit(1).alias("src"), c("出力日時").alias("at"), c(URL).alias("u"))
+    named = own[0].unionByName(own[1]).unionByName(out).where("u is not null").select("record", "src", "at", F.posexplode(U.named_hosts(c("u"))).alias("pos", "url"))
+    place = F.struct("src", (-F.unix_micros("at")).alias("at"), "pos")
+    first = named.groupBy("record", "url").agg(F.min(place).alias("place"))
+    return first.select("record", (F.row_number().over(Window.partitionBy("record").orderBy("place", "url")) - 1).alias("idx"), "url")
+
+
 @query()
 def judge_candidates(spark, folder):
-    p = table(spark, folder, "prepared_rows").select(F.col(ID).alias("record"), F.col(NAME).alias("name"), F.col("住所").alias("addr"), F.col("電話番号").alias("phone"), F.col(URL).alias("u")).distinct()
-    cands = p.where("u is not null").select("record", F.lit(0).alias("idx"), F.regexp_replace(U.host(F.col("u")), r"^www\.", "").alias("url")).where("url <> ''")
-    return V.judge(p, cands, _pages(spark, folder), _extra(spark, folder))
+    return V.judge(_judged_records(spark, folder), _judged_candidates(spark, folder), _pages(spark, folder), _extra(spark, folder))
 
 
 _POINTS = """s as (select event_id, user_id, (event_id % 9)::int pts, row_number() over (partition by user_id order by ts, event_id) - 1 idx from events)"""

@@ -29,6 +29,16 @@ def test_query(spark, small, name):
         assert cols == sorted(want.columns) and lines(got[cols]) == lines(want[cols])
 
 
+def test_judged_pairs_have_pages(spark, small):
+    """Candidates meet pages, pairs get points and some records are found; both lists come out, each record once."""
+    cands, pages = C._judged_candidates(spark, small), C._pages(spark, small)
+    met = cands.join(pages, "url").select("record").distinct().count()
+    got = C.judge_candidates(spark, small).toPandas()
+    n = duckdb.sql(f"""select count(distinct r) from (select "レコードID" r from '{small}/work_rows.parquet' union all select "レコードID" from '{small}/prepared_rows.parquet')""").fetchall()[0][0]
+    assert len(got) == got.record.nunique() == n
+    assert met >= 30 and (got.confidence != "未検出").sum() > 0
+
+
 def test_nothing_outside_imports_llm():
     root = os.path.dirname(os.path.dirname(os.path.abspath(C.__file__)))
     for path in glob.glob(root + "/**/*.py", recursive=True):
