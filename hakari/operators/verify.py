@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import text as T
 from ..functions.url import blocked
+from ..session import cut
 
 
 def candidates(found: Column, extra: list[str] | None = None, most: int = rules.CANDIDATES_PER_QUERY) -> Column:
@@ -60,23 +63,110 @@ def verdict(points: Column, reasons: Column, tried: Column, top: Column) -> Colu
     return F.when(F.coalesce(points, F.lit(0)) < rules.LOW, no).otherwise(F.concat(F.array_join(reasons, "・"), F.lit("（スコア"), points.cast("string"), F.lit("）")))
 
 
+#: Characters of text and records of a URL that one task's row holds; a URL with more is spread over several rows.
+PART_CHARS, PART_RECORDS = 1_000_000, 5_000
+#: Tests of evidence() in its order: points times 16, and a bit each.
+_PHONE, _LOT, _NAME, _CITY = 3 << 4 | 8, 2 << 4 | 4, 2 << 4 | 2, 1 << 4 | 1
+
+
+def _where_found(needles: set[str], texts: list[str], size: int) -> dict[str, np.ndarray]:
+    """For each needle that occurs, in which texts. Many needles are looked up by their first characters, `size` at
+    most, among those of the text, so that the work grows with the text and not with texts times needles."""
+    got: dict[str, np.ndarray] = {}
+    heads: dict[int, dict[str, list[str]]] = {}
+    for n in needles:
+        k = min(size, len(n))
+        heads.setdefault(k, {}).setdefault(n[:k], []).append(n)
+    for i, t in enumerate(texts):
+        near = needles if len(needles) <= 8 else (n for k, of in heads.items() for h in of.keys() & {t[j : j + k] for j in range(len(t) - k + 1)} for n in of[h])
+        for n in near:
+            if n in t:
+                if n not in got:
+                    got[n] = np.zeros(len(texts), np.int16)
+                got[n][i] = 1
+    return got
+
+
+def _best_codes(texts: list[dict], recs: list[dict]) -> list[int]:
+    """For each record (p, x, n, c) the best code over the texts (name, runs): points of evidence() and its tests."""
+    none = np.zeros(len(texts), np.int16)
+    names, digits = [t["name"] for t in texts], ["".join(t["runs"]) for t in texts]
+    lots = ["".join(r["x"][:3]) if len(r["x"]) >= 2 else "" for r in recs]
+    named = _where_found({n for r in recs for n in (r["n"], r["c"]) if n}, names, 3)
+    rows = _where_found({r["p"] for r in recs if len(r["p"]) >= 9} | {x for x in lots if x}, digits, 6)
+    asked = {n for r in recs for n in r["x"][:3]}
+    alone: dict[str, np.ndarray] = {}
+    for i, t in enumerate(texts):
+        for n in asked.intersection(t["runs"]):
+            alone.setdefault(n, np.zeros(len(texts), np.int16))[i] = 1
+    out = []
+    for r, lot in zip(recs, lots):
+        code = named.get(r["c"], none) * _CITY
+        if len(r["n"]) >= 3:
+            code = code + named.get(r["n"], none) * _NAME
+        if len(r["p"]) >= 9:
+            code = code + rows.get(r["p"], none) * _PHONE
+        if lot:
+            three = r["x"][:3]
+            enough = sum(alone.get(n, none) for n in three) >= max(2, len(three) - 1)
+            code = code + (enough | (rows.get(lot, none) > 0)) * np.int16(_LOT)
+        out.append(int(code.max()))
+    return out
+
+
+def _scored(pairs: DataFrame, pages: DataFrame) -> DataFrame:
+    """(record, idx, url, points, reasons): the best evidence of each pair over all texts of its URL.
+
+    pairs: (record, idx, url, _n, _p, _x, _c), once each; pages: (url, html), any number a URL. Equal texts are one. A
+    URL's texts and pairs are brought together, in parts where there are many, and each text is folded once.
+    """
+    from ..functions.html import page_text
+
+    c = F.col
+    parts = lambda d, n, size, k: F.broadcast(d.groupBy("url").agg(F.ceil(n / size).cast("int").alias(k)).where(c(k) > 1))
+    long = parts(pages, F.sum(F.length("html")), PART_CHARS, "_t")
+    many = parts(pairs, F.count("*"), PART_RECORDS, "_m")
+    r = pairs.join(long, "url", "left").join(many, "url", "left").withColumn("_i", F.explode(F.sequence(F.lit(0), F.coalesce("_t", F.lit(1)) - 1)))
+    r = r.withColumn("_j", F.pmod(F.xxhash64("record"), F.coalesce("_m", F.lit(1))).cast("int"))
+    r = r.groupBy("url", "_i", "_j").agg(F.collect_list(F.struct("record", "idx", c("_p").alias("p"), c("_x").alias("x"), c("_n").alias("n"), c("_c").alias("c"))).alias("recs"))
+    t = pages.join(long, "url", "left").withColumn("_i", F.pmod(F.xxhash64("html"), F.coalesce("_t", F.lit(1))).cast("int")).select("url", "_i", "html")
+    keys = pairs.select("url").distinct().join(long, "url", "left").select("url", F.explode(F.sequence(F.lit(0), F.coalesce("_t", F.lit(1)) - 1)).alias("_i"))
+    t = t.join(keys, ["url", "_i"], "left_semi").distinct().withColumn("page", page_text(c("html")))
+    text = F.struct(T.name_key(c("page")).alias("name"), F.regexp_extract_all("page", F.lit(r"(?U)(\d+)"), 1).alias("runs"))
+    t = t.groupBy("url", "_i").agg(F.collect_list(text).alias("texts"))
+    kind, order = (pairs.schema[k].dataType.simpleString() for k in ("record", "idx"))
+
+    def go(batches):
+        for b in batches:
+            recs, texts = b.column(1).to_pylist(), b.column(2)
+            codes = [x for i, of in enumerate(recs) for x in _best_codes(texts[i].as_py(), of)]
+            flat, row = b.column(1).flatten(), np.repeat(np.arange(b.num_rows), [len(of) for of in recs])
+            yield pa.RecordBatch.from_arrays([flat.field("record"), flat.field("idx"), b.column(0).take(pa.array(row)), pa.array(codes, pa.int32())], names=["record", "idx", "url", "code"])
+
+    s = r.join(t, ["url", "_i"]).select("url", "recs", "texts").mapInArrow(go, f"record {kind}, idx {order}, url string, code int")
+    s = s.groupBy("record", "idx", "url").agg(F.max("code").alias("code"))
+    why = [F.when(c("code").bitwiseAND(bit) > 0, F.lit(w)) for bit, w in ((8, "電話一致"), (4, "番地一致"), (2, "施設名一致"), (1, "市区町村一致"))]
+    return s.select("record", "idx", "url", F.shiftright("code", 4).alias("points"), F.array_compact(F.array(*why)).alias("reasons"))
+
+
 def judge(records: DataFrame, cands: DataFrame, pages: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """(record, url, confidence, reason) for records (record, name, addr, phone), cands (record, idx, url) and
-    pages (url, html).
+    pages (url, html), any number a URL: of its texts that with the most points counts, and of equal points the one
+    with a telephone, then a lot, then a name.
 
-    Blocked and unfetched candidates are passed over; pages are joined on URL, never fetched here. Texts are folded
-    once a page, not once a pair.
+    Blocked and unfetched candidates are passed over; pages are joined on URL, never fetched here. Texts and records
+    are folded once, and only those that meet.
     """
-    from ..functions.html import page_text
     from ..functions.url import blocked_for
 
-    p = pages.select(F.col("url").alias("_u"), page_text(F.col("html")).alias("page")).withColumn("page_name", T.name_key(F.col("page")))
-    r = records.withColumn("_a", T.nfkc(F.col("addr"))).withColumn("_n", T.name_key(T.nfkc(F.col("name")))).withColumn("_p", T.phone_digits(T.nfkc(F.col("phone"))))
-    r = r.select("record", "name", "_n", "_p", T.address_numbers(F.col("_a")).alias("_x"), T.name_key(T.city_part(F.col("_a"))).alias("_c"))
+    pages = pages.where("html <> ''").select("url", "html")
+    there = pages.select("url").distinct()
+    pairs = cands.select("record", "idx", "url").where(~blocked(F.col("url"), extra)).join(there, "url", "left_semi").distinct()
+    s = pairs.join(records.select("record", "name", "addr", "phone"), "record").where(~blocked_for(F.col("url"), F.col("name"), extra))
+    s = s.withColumn("_a", T.nfkc(F.col("addr"))).withColumn("_n", T.name_key(T.nfkc(F.col("name")))).withColumn("_p", T.phone_digits(T.nfkc(F.col("phone"))))
+    s = s.select("record", "idx", "url", "_n", "_p", T.address_numbers(F.col("_a")).alias("_x"), T.name_key(T.city_part(F.col("_a"))).alias("_c"))
+    best = best_candidate(_scored(cut(s), pages), "record", "idx", "points", ["url", "reasons"])
     tried = cands.groupBy("record").agg(F.count("*").alias("tried"), F.min_by("url", "idx").alias("top"))
-    s = cands.join(r, "record").where(~blocked_for(F.col("url"), F.col("name"), extra)).join(p, F.col("url") == F.col("_u"))
-    s = s.withColumn("e", evidence(F.col("_p"), F.col("_x"), F.col("_n"), F.col("_c"), F.col("page"), F.col("page_name"))).select("record", "idx", "url", F.col("e.points").alias("points"), F.col("e.reasons").alias("reasons"))
-    best = best_candidate(s, "record", "idx", "points", ["url", "reasons"])
     out = records.select("record").join(tried, "record", "left").join(best, "record", "left")
     conf = band(F.coalesce("points", F.lit(0)))
     return out.select("record", F.when(conf == "未検出", "").otherwise(F.col("url")).alias("url"), conf.alias("confidence"), verdict(F.col("points"), F.col("reasons"), F.coalesce("tried", F.lit(0)), F.col("top")).alias("reason"))

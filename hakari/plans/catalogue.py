@@ -371,9 +371,8 @@ def merge_early(spark, folder):
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The longest text of each host as its page."""
-    d = table(spark, folder, "documents").where("host is not null and text is not null")
-    return d.groupBy("host").agg(F.max_by("text", F.struct("n_chars", "doc_id")).alias("html")).withColumnRenamed("host", "url")
+    """Every text of each host as a page of it."""
+    return table(spark, folder, "documents").where("host is not null and text is not null").select(F.col("host").alias("url"), F.col("text").alias("html"))
 
 
 def _judged_records(spark: SparkSession, folder: str) -> DataFrame:

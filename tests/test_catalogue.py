@@ -39,6 +39,12 @@ def test_judged_pairs_have_pages(spark, small):
     assert met >= 30 and (got.confidence != "未検出").sum() > 0
 
 
+def test_pages_are_all_texts(spark, small):
+    want = duckdb.sql(f"select count(*), count(distinct (host, text)) from '{small}/documents.parquet' where host is not null and text is not null").fetchall()[0]
+    pages = C._pages(spark, small)
+    assert (pages.count(), pages.distinct().count()) == want and want[1] > pages.select("url").distinct().count()
+
+
 def test_nothing_outside_imports_llm():
     root = os.path.dirname(os.path.dirname(os.path.abspath(C.__file__)))
     for path in glob.glob(root + "/**/*.py", recursive=True):

@@ -86,6 +86,39 @@ def test_verify(spark):
     assert [r.x.points for r in e.select(verify.with_subpage(s("p"), s("q"), F.col("idx")).alias("x")).collect()] == [5, 2, 4, 2]
 
 
+def test_judge_scores_every_text(spark, monkeypatch):
+    """The best text of a URL counts, in parts or whole, and as evidence() has it for each pair of record and text."""
+    import random
+
+    from hakari.functions import html
+    from hakari.functions import text as T
+
+    rnd = random.Random(5)
+    cities, families = ["甲市", "乙市北区", "丙町"], ["山田", "田中", "鈴木", "佐藤", "高橋"]
+    name = lambda: rnd.choice(["医療法人", "", "Ｄｒ．"]) + rnd.choice(families) + rnd.choice(["医院", "眼科", ""])
+    lot = lambda: "-".join(str(rnd.randrange(1, 15)) for _ in range(rnd.randrange(4)))
+    recs = [(i, name(), rnd.choice(cities) + lot(), rnd.choice([None, "", f"03-1234-567{rnd.randrange(4)}"])) for i in range(60)] + [(99, None, None, None)]
+    cands = [(r[0], k, u) for r in recs for k, u in enumerate(rnd.sample(["http://a", "http://b", "http://c", "http://none"], 2))]
+    texts = [(rnd.choice(["http://a", "http://b", "http://c"]), f"<p>{name()} {rnd.choice(cities)}{lot()}</p>" + rnd.choice(["", "０３-1234-567" + str(rnd.randrange(4))]) + "長い文。" * rnd.randrange(9)) for _ in range(80)]
+    pages = spark.createDataFrame(texts + texts[:5] + [("http://a", ""), ("http://a", None)], "url string, html string")
+    r, c = spark.createDataFrame(recs, "record long, name string, addr string, phone string"), spark.createDataFrame(cands, "record long, idx int, url string")
+    f = r.withColumn("_a", T.nfkc(F.col("addr"))).join(c, "record").join(pages.withColumn("page", html.page_text(F.col("html"))), "url")
+    e = verify.evidence(T.phone_digits(T.nfkc(F.col("phone"))), T.address_numbers(F.col("_a")), T.name_key(T.nfkc(F.col("name"))), T.name_key(T.city_part(F.col("_a"))), F.col("page"), T.name_key(F.col("page")))
+    most = {(x.record, x.url): x.p for x in f.groupBy("record", "url").agg(F.max(e["points"]).alias("p")).collect()}
+    want = {}
+    for i, *_ in recs:
+        mine = [(most[i, u], k, u) for _, k, u in sorted(x for x in cands if x[0] == i) if (i, u) in most]
+        p, _, u = next((x for x in mine if x[0] >= rules.HIGH), max(mine, key=lambda x: (x[0], -x[1]), default=(0, 0, "")))
+        want[i] = (u if p >= rules.LOW else "", "高" if p >= 4 else {3: "中", 2: "低"}.get(p, "未検出"), p)
+    assert len({x[1] for x in want.values()}) >= 3
+    for chars, many in ((1_000_000, 5_000), (100, 7)):
+        monkeypatch.setattr(verify, "PART_CHARS", chars)
+        monkeypatch.setattr(verify, "PART_RECORDS", many)
+        got = {x.record: x for x in verify.judge(r, c, pages).collect()}
+        assert {i: (x.url, x.confidence) for i, x in got.items()} == {i: w[:2] for i, w in want.items()}
+        assert all(f"スコア{w[2]}" in got[i].reason for i, w in want.items() if w[2] >= rules.LOW)
+
+
 def test_best_candidate_against_a_loop(spark):
     import random
 
