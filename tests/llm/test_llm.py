@@ -219,6 +219,20 @@ def test_matches_hard_rows(spark):
     assert matching.matches(spark.createDataFrame([], shape)).count() == 0
 
 
+def test_own_host_links(spark):
+    """One facility's host stays its own with its code blank, short and long, and with many spellings; a portal's goes."""
+    shape = "side int, id long, name string, addr string, pref string, phone string, code string, host string"
+    name, at, moved = "凪沼楠岸眼科医院", "甲市乙町1-2-3", "甲市丙町5-6-7"
+    data = [(0, 1, name, at, None, None, None, "own.example"), (1, 7, name, moved, None, None, None, "own.example"), (0, 2, name, at, None, None, "0123456789", "own.example"), (1, 8, name, at, None, None, "3456789", "own.example")]
+    data += [(0, 10 + i, name + chr(0x4E00 + i), "甲市乙町1-2", None, None, None, "own.example") for i in range(20)]
+    data += [(0, 50, name, "丁市戊町8-8-8", None, None, None, "portal.example"), (1, 51, name, "丁市己町9-9-9", None, None, None, "portal.example"), (1, 52, "暁原星上皮膚科", "丁市庚町4-4-4", None, None, None, "portal.example")]
+    d = spark.createDataFrame(data, shape)
+    r = matching.described(d).na.fill("", ["phone", "code", "host"])
+    assert rows(matching.shared_hosts(r), "host") == [("portal.example",)]
+    got = {(x.a, x.b) for x in matching.matches(d).collect()}
+    assert {(1, 7), (2, 7), (1, 8), (2, 8)} <= got and (50, 51) not in got
+
+
 # 7: packing
 
 
