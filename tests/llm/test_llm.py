@@ -359,6 +359,14 @@ def test_cut_prefers_strong_boundaries(spark):
     assert all(re.search(r"\n\n$", r.piece_text) for r in got) and "".join(r.piece_text for r in got) == text
 
 
+def test_cut_looks_in_the_first_half_too(spark):
+    text = "今日は晴れ。" + "終わりのない" * 100
+    d = spark.createDataFrame([(1, text)], "id long, t string")
+    for overlap in (0, 8):
+        got = cutting.cut_texts(d, "id", "t", [(1, 64, overlap)], PATH).orderBy("piece").collect()
+        assert got[0].piece_text == "今日は晴れ。" and len(got) > 2 and all(r.n_tokens <= 64 for r in got)
+
+
 def test_classes():
     k, e, stops = cutting.classify(["あ。い 3.5\n\nう", "a"], PATH)
     assert len(k) == len(e) == stops[-1] and int(e[-1]) == 3 and np.all(np.diff(e[: stops[0]] // 2) > 0)
