@@ -375,6 +375,17 @@ def test_classes():
 # queries
 
 
+def test_too_many_limits_are_an_error(spark, tmp_path):
+    from hakari.llm import catalogue
+
+    d = spark.range(1001).selectExpr("id limit_id", "'cut' purpose", "cast(100 as int) max_tokens", "cast(0 as int) overlap_tokens")
+    d.write.parquet(str(tmp_path / "a/token_limits.parquet"))
+    with pytest.raises(ValueError):
+        catalogue._limits(spark, str(tmp_path / "a"), "cut")
+    d.where("limit_id < 1000").write.parquet(str(tmp_path / "b/token_limits.parquet"))
+    assert len(catalogue._limits(spark, str(tmp_path / "b"), "cut")) == 1000 and catalogue._limits(spark, str(tmp_path / "b"), "pack") == []
+
+
 @pytest.mark.parametrize("name", sorted(__import__("hakari.llm.catalogue", fromlist=["x"]).QUERIES))
 def test_query(spark, small, name):
     from hakari.llm import catalogue
