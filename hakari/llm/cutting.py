@@ -52,13 +52,14 @@ def classify(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def pattern(limit: int, overlap: int) -> str:
     """Alternatives by strength of boundary, each up to the limit; a first piece has no overlap to leave room for.
-    What is left goes whole if it fits; else the second half of the room is searched for each kind of boundary, and
-    then the first, before any character will do."""
+    What is left goes whole if it fits; else the second half of the room is searched for each kind of mark or line
+    end, then the first half, before a blank, which any ideograph or kana counts as, or any character will do."""
 
     def part(most: int) -> str:
         least = max(0, most // 2 - 1)
-        strong = lambda room: "|".join(f".{{0,{room}}}[{c}]" for c in ("p", "lp", "slp", "cslp", "wcslp"))
-        return f".{{1,{most}}}+$|.{{{least}}}(?:{strong(most - 1 - least)})|{strong(most - 1)}|.{{0,{most - 1}}}[^z]"
+        marks = lambda room: "|".join(f".{{0,{room}}}[{c}]" for c in ("p", "lp", "slp", "cslp"))
+        half = most - 1 - least
+        return f".{{1,{most}}}+$|.{{{least}}}(?:{marks(half)})|{marks(most - 1)}|.{{{least}}}.{{0,{half}}}w|.{{0,{most - 1}}}w|.{{0,{most - 1}}}[^z]"
 
     later = limit - overlap - (_BACK if overlap else 0)
     return f"(?s)^(?:{part(limit)})|(?:{part(later)})" if overlap else f"(?s){part(limit)}"
@@ -84,8 +85,8 @@ def cut_texts(docs: DataFrame, doc: str, text: str, limits: list[tuple[int, int,
 
     limits: (limit_id, most tokens, overlap tokens). A text is turned into one letter a token: what kind of
     boundary follows it. A regular expression with bounded quantifiers eats that string piece by piece: up to the
-    end, else the strongest boundary in the second half of the room, else in the first, else any whole character. Each
-    piece but the first begins the stated overlap earlier (up to three tokens more where a character would be broken), within
+    end, else the strongest mark or line end in the second half of the room, else in the first, else the last blank,
+    ideograph or kana, else any whole character. Each piece but the first begins the stated overlap earlier (up to three tokens more where a character would be broken), within
     the limit. Pieces without their overlaps put together are the text; from_byte counts its UTF-8 bytes. Texts
     within a limit, empty and null texts have no row for it. Texts need not be unique; pieces are numbered from 0
     for each row. Every text is tokenized once for all limits.
