@@ -52,7 +52,7 @@ def parse(address: str | None, pref: str | None = None) -> tuple[str, str, str,
     m = _BUILDING.match(a)
     if m and not _LOT.search(m[0]) and not _GRID.search(m[0]) and ((x := _LOT.search(a, m.end())) and x.start() > m.end()):
         a = a[m.end() :]
-    grid = _GRID.search(re.sub(r"\s+", "", a[:60]))
+    grid = _GRID.search(re.sub(r"\s+", "", a))
     if grid:
         flat = re.sub(r"\s+(?=[^\d]*\d)", " ", a)
         flat = re.sub(r"(?<=[^\d])\s+|\s+(?=[NSEW北南東西]\d)", "", flat)

@@ -143,6 +143,10 @@ def test_parse(said, parsed):
     assert address.parse(said) == parsed
 
 
+def test_parse_finds_a_grid_behind_a_long_lead():
+    assert address.parse("案内所の奥" * 13 + "柊浦市中央区北3条西17丁目4番5号")[3] == (3, 17, 4, 5)
+
+
 def test_places(spark):
     z = "1234567"
     data = [(1, "甲市乙町1丁目2番3号", z, "丙県"), (2, "甲市乙町１－２－３ ビル2F", z, "丙県"), (3, "乙町一丁目2-3", z, None), (4, "甲市乙町1-2", None, "丙県"), (5, "甲市乙街1-2-3", z, "丙県"), (6, "甲市乙町1-2-4", z, "丙県"), (7, "甲市", z, "丙県"), (8, None, None, None), (9, "丁市乙町1-2-3", "7654321", "戊県"), (1, "甲市乙町1丁目2番3号", z, "丙県"), (10, "丁市乙町1-2", "7654321", "戊県")]
