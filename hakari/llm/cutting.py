@@ -17,6 +17,7 @@ _CLASS[[ord(c) for c in "。．.!！?？｡"]] = 4
 _CLASS[[ord(c) for c in "\n\r\x0b\x0c  \x85"]] = 5
 _SPACE = np.zeros(0x110000, bool)
 _SPACE[[i for i in range(0x3001) if chr(i).isspace()]] = True
+_BLOCK = 128  # pieces that are summed up together
 _BACK = 3  # tokens that the overlap may be longer than stated, to begin with a whole character
 
 
@@ -66,18 +67,49 @@ def pattern(limit: int, overlap: int) -> str:
 
 
 def _pieces(limit_id: int, limit: int, overlap: int) -> Column:
-    """array<struct<limit_id, piece, start, stop>> in tokens from the column `k` of class letters; `e` has the ends."""
+    """array<struct<limit_id, piece, from_byte, to_byte, n_tokens>> from the columns `k` of class letters and `e` of ends.
+
+    The matches' lengths are summed up in blocks of _BLOCK, so that the work is linear in the text; each expression stands
+    once, as the functions over arrays evaluate what they are given each time that it stands there.
+    """
     size = F.transform(F.regexp_extract_all("k", F.lit(pattern(limit, overlap)), F.lit(0)), F.length)
     size = F.when(F.length("k") > limit, size).otherwise(F.array().cast("array<int>"))
-    stops = F.aggregate(size, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(n + F.element_at(a, -1))))
+    pairs = "array<struct<a: int, b: int>>"
+    none = F.struct(F.array().cast(f"array<{pairs}>").alias("done"), F.array().cast(pairs).alias("open"), F.lit(0).alias("at"))
+
+    def add(z: Column, n: Column) -> Column:
+        one = F.array(F.struct(z["at"].alias("a"), (z["at"] + n).alias("b")))
+        full = F.size(z["open"]) >= _BLOCK
+        done = F.when(full, F.concat(z["done"], F.array(z["open"]))).otherwise(z["done"])
+        return F.struct(done.alias("done"), F.when(full, one).otherwise(F.concat(z["open"], one)).alias("open"), (z["at"] + n).alias("at"))
+
+    both = F.aggregate(size, none, add, lambda z: F.flatten(F.concat(z["done"], F.array(z["open"]))))
 
     def start(own: Column) -> Column:
-        back = F.greatest(F.lit(0), own - overlap)
+        back = own - overlap
         inside = lambda i: F.coalesce(F.get("e", back - i) % 2 == 0, F.lit(False))
-        return back - F.when(~inside(1), 0).when(~inside(2), 1).when(~inside(3), 2).otherwise(3)
-
-    both = F.arrays_zip(F.slice(stops, 1, F.size(stops) - 1).alias("a"), F.slice(stops, 2, F.size(stops)).alias("b"))
-    return F.transform(both, lambda x, i: F.struct(F.lit(limit_id).cast("long").alias("limit_id"), i.alias("piece"), F.when(i == 0, 0).otherwise(start(x["a"])).alias("start"), x["b"].alias("stop")))
+        return F.when(back <= 0, 0).when(~inside(1), back).when(~inside(2), back - 1).when(~inside(3), back - 2).otherwise(back - 3)
+
+    to = lambda i: F.coalesce(F.shiftright(F.get("e", i - 1), 1), F.lit(0))
+    begun = F.transform(both, lambda x, i: F.struct(i.alias("i"), (start(x["a"]) if overlap else x["a"]).alias("s"), x["b"].alias("b")))
+    return F.transform(begun, lambda x: F.struct(F.lit(limit_id).cast("long").alias("limit_id"), x["i"].alias("piece"), to(x["s"]).alias("from_byte"), to(x["b"]).alias("to_byte"), (x["b"] - x["s"]).alias("n_tokens")))
+
+
+def _sliced(batches):
+    """Batches (doc_id, t, p) as a row a piece: the bytes of a text are cut once each, piece by piece."""
+    for b in batches:
+        ids, texts, listed = b.column(0), b.column(1).cast(pa.binary()), b.column(2)
+        flat = listed.flatten()
+        if not len(flat):
+            continue
+        row = np.repeat(np.arange(b.num_rows), listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        begin, end = flat.field("from_byte").to_numpy(), flat.field("to_byte").to_numpy()
+        at = np.append(np.flatnonzero(np.append(True, row[1:] != row[:-1])), len(row))
+        out = []
+        for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+            raw = texts[int(row[i])].as_py()
+            out += [raw[x:y] for x, y in zip(begin[i:j].tolist(), end[i:j].tolist())]
+        yield pa.RecordBatch.from_arrays([flat.field("limit_id"), ids.take(pa.array(row)), flat.field("piece"), flat.field("from_byte").cast(pa.int64()), flat.field("n_tokens"), pa.array(out, pa.binary()).cast(pa.string())], names=["limit_id", "doc_id", "piece", "from_byte", "n_tokens", "piece_text"])
 
 
 def cut_texts(docs: DataFrame, doc: str, text: str, limits: list[tuple[int, int, int]], path: str) -> DataFrame:
@@ -111,8 +143,7 @@ def cut_texts(docs: DataFrame, doc: str, text: str, limits: list[tuple[int, int,
 
     kind = docs.schema[doc].dataType.simpleString()
     rows = docs.select(doc, text).mapInArrow(go, f"doc_id {kind}, t string, k string, e array<int>").where(F.length("k") > least)
-    pieces = F.concat(*[_pieces(*x) for x in limits]) if limits else F.expr("cast(array() as array<struct<limit_id: bigint, piece: int, start: int, stop: int>>)")
-    rows = rows.select("doc_id", "t", "e", F.explode(pieces).alias("p"))
-    to = lambda i: F.coalesce(F.expr(f"get(e, {i} - 1) div 2"), F.lit(0).cast("long"))
-    rows = rows.select("p.limit_id", "doc_id", "p.piece", to("p.start").alias("from_byte"), to("p.stop").alias("_to"), (F.col("p.stop") - F.col("p.start")).alias("n_tokens"), "t")
-    return rows.select("limit_id", "doc_id", "piece", "from_byte", "n_tokens", F.expr("cast(substring(cast(t as binary), int(from_byte) + 1, int(_to - from_byte)) as string)").alias("piece_text"))
+    if not limits:
+        rows = rows.where(F.lit(False))
+    pieces = F.concat(*[_pieces(*x) for x in limits or [(0, 1, 0)]])
+    return rows.select("doc_id", "t", pieces.alias("p")).mapInArrow(_sliced, f"limit_id long, doc_id {kind}, piece int, from_byte long, n_tokens int, piece_text string")
