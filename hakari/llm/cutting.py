@@ -134,7 +134,7 @@ def cut_texts(docs: DataFrame, doc: str, text: str, limits: list[tuple[int, int,
                 if t and len(t) * 4 > least:
                     group.append(i)
                     size += len(t)
-                if group and (size > 4_000_000 or i + 1 == len(texts)):
+                if group and (size > 1_000_000 or i + 1 == len(texts)):
                     k, e, stops = classify([texts[j] for j in group], path)
                     bounds = pa.array(np.append(0, stops).astype(np.int32))
                     letters = pa.Array.from_buffers(pa.string(), len(group), [None, bounds.buffers()[1], pa.py_buffer(k.tobytes())])

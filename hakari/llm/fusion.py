@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.width import digits, narrow, strip
+from ..operators.skew import salted_join
 from ..session import cut
 
 N_FALSE, COPIED, PRIOR = 20, 0.8, 0.1
@@ -90,93 +93,158 @@ def _vote_udf(acc: np.ndarray, dep: np.ndarray):
 
     @F.pandas_udf("double")
     def vote(s: pd.Series) -> pd.Series:
+        known: dict[tuple, float] = {}  # few sets of sources occur, however many values
+
         def one(x):
-            x = sorted(x, key=lambda i: -acc[i])
-            return sum(score[i] * np.prod([1 - COPIED * dep[i, j] for j in x[:k]]) for k, i in enumerate(x))
+            k = tuple(x)
+            if k not in known:
+                x = sorted(k, key=lambda i: -acc[i])
+                known[k] = float(sum(score[i] * np.prod([1 - COPIED * dep[i, j] for j in x[:n]]) for n, i in enumerate(x)))
+            return known[k]
 
         return s.map(one)
 
     return vote
 
 
-def fuse(claims: DataFrame, rounds: int = 2, most_sources: int = 1024) -> DataFrame:
-    """(object, value, posterior) from claims (object, value, source): which value of an object is true.
+@dataclass
+class Model:
+    """What is known of the sources: names, accuracies, dependences."""
+
+    names: list[str]
+    acc: np.ndarray
+    dep: np.ndarray
+
+    @property
+    def most(self) -> float:
+        """More than all votes together can make up."""
+        return 1.0 + len(self.names) * float(np.log(N_FALSE * 0.95 / 0.05))
+
+
+def reduced(claims: DataFrame, names: list[str]) -> DataFrame:
+    """(object, value, s, best: struct<prior, record>, n): claims of one value in one line, under partial aggregation; s
+    are the numbers of the sources, best the claim with the highest prior, of equals with the larger record."""
+    have = claims.columns
+    ids = F.create_map(*[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(i))]) if names else F.lit(None).cast("map<string,int>")
+    best = F.struct(F.col("prior") if "prior" in have else F.lit(0.0).alias("prior"), F.col("record") if "record" in have else F.lit(None).cast("long").alias("record"))
+    return claims.groupBy("object", "value").agg(F.array_sort(F.collect_set(F.try_element_at(ids, F.col("source")))).alias("s"), F.max(best).alias("best"), F.count("*").alias("n"))
+
+
+def _claims(claims: DataFrame) -> DataFrame:
+    return claims.where("object is not null and value is not null and source is not null")
+
 
-    Accuracies of sources and their dependence are estimated in turn with the values' posteriors. Two sources
-    that share values that are probably false are probably copies, and the copied votes are discounted. Claims are
-    first reduced to distinct (object, value, source), so a group with a third of all rows sends few lines;
-    pairs are of sources, of which there are at most `most_sources` (counted, else an error), never of records.
-    Claims with a null in any column are no claims. An empty table of claims gives an empty table.
+def estimate(claims: DataFrame, rounds: int = 2, most_sources: int = 1024) -> Model:
+    """Accuracies of sources and their dependence, in turn with the posteriors of the values, from claims (object, value,
+    source).
+
+    Two sources that share values that are probably false are probably copies. Values of an object that the same
+    sources claim have the same posterior, so the work is on (object, set of sources) with a count: an object that a
+    third of all rows describe is a few lines. Pairs are of sources, of which there are at most `most_sources`
+    (counted, else an error), never of records. Objects with one claim say nothing here.
     """
-    base = claims.select("object", "value", "source").where("object is not null and value is not null and source is not null").distinct()
+    base = _claims(claims)
     names = [r.source for r in base.select("source").distinct().limit(most_sources + 1).collect()]
     if len(names) > most_sources:
         raise ValueError(f"more than {most_sources} sources; name coarser ones")
     names.sort(key=str)
     n = max(1, len(names))
-    ids = F.create_map(*[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(i))]) if names else F.lit(None).cast("map<string,int>")
-    votes = cut(base.groupBy("object", "value").agg(F.array_sort(F.collect_set(F.try_element_at(ids, F.col("source")))).alias("s")))
-    both = _pairs(votes.groupBy("object").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("s")).withColumn("p", F.lit(1.0)), n)[0]
-    acc, dep = _start(both, _pairs(votes.withColumn("p", F.lit(1.0)), n)[0])
-
-    def posterior():
-        scored = votes.withColumn("v", _vote_udf(acc, dep)("s"))
-        top = scored.groupBy("object").agg(F.max("v").alias("top"), F.collect_list("v").alias("vs"))
-        total = F.aggregate("vs", F.lit(0.0), lambda z, v: z + F.exp(v - F.col("top"))) + F.greatest(F.lit(0.0), F.lit(N_FALSE + 1.0) - F.size("vs")) * F.exp(-F.col("top"))
-        return scored.join(top.select("object", "top", total.alias("total")), "object").select("object", "value", "s", (F.exp(F.col("v") - F.col("top")) / F.col("total")).alias("p"))
-
+    sets = cut(reduced(base, names).groupBy("object", "s").agg(F.count("*").cast("double").alias("m")))
+    both = _pairs(sets.groupBy("object").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("s")))).alias("s")).withColumn("p", F.lit(1.0)).withColumn("m", F.lit(1.0)), n)[0]
+    acc, dep = _start(both, _pairs(sets.withColumn("p", F.lit(1.0)), n)[0])
     for _ in range(rounds):
-        p = posterior()
-        per = p.select(F.explode("s").alias("i"), "p").groupBy("i").agg(F.avg("p").alias("a")).collect()
+        scored = sets.withColumn("v", _vote_udf(acc, dep)("s"))
+        top = scored.groupBy("object").agg(F.max("v").alias("top"), F.collect_list(F.struct("v", "m")).alias("vs"), F.sum(F.col("m") * F.size("s")).alias("c")).where("c > 1")
+        total = F.aggregate("vs", F.lit(0.0), lambda z, x: z + x.m * F.exp(x.v - F.col("top"))) + F.greatest(F.lit(0.0), F.lit(N_FALSE + 1.0) - F.aggregate("vs", F.lit(0.0), lambda z, x: z + x.m)) * F.exp(-F.col("top"))
+        p = scored.join(top.select("object", "top", total.alias("total")), "object").select("s", "m", (F.exp(F.col("v") - F.col("top")) / F.col("total")).alias("p"))
+        p = p.groupBy("s", "p").agg(F.sum("m").alias("m"))
+        per = p.select(F.explode("s").alias("i"), "p", "m").groupBy("i").agg((F.sum(F.col("p") * F.col("m")) / F.sum("m")).alias("a")).collect()
         both_same, true = _pairs(p, n)
         for r in per:
             acc[r.i] = min(0.95, max(0.05, r.a))
         dep = _dependence(true, both_same - true, np.maximum(0, both - both_same), acc)
         np.fill_diagonal(dep, 0)
-    return posterior().select("object", "value", F.col("p").alias("posterior"))
+    return Model(names, acc, dep)
 
 
 def _pairs(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Matrices over pairs of sources: rows in which both stand, and the sum of p over them."""
-    two = rows.where("size(s) > 1").select("p", F.explode("s").alias("i"), "s").select("p", "i", F.explode("s").alias("j")).where("i < j")
+    """Matrices over pairs of sources: how often both stand in one set s of weight m, and the sum of p over that."""
+    two = rows.where("size(s) > 1").select("p", "m", F.explode("s").alias("i"), "s").select("p", "m", "i", F.explode("s").alias("j")).where("i < j")
     count, weight = np.zeros((n, n)), np.zeros((n, n))
-    for r in two.groupBy("i", "j").agg(F.count("*").alias("c"), F.sum("p").alias("w")).collect():
+    for r in two.groupBy("i", "j").agg(F.sum("m").alias("c"), F.sum(F.col("p") * F.col("m")).alias("w")).collect():
         count[r.i, r.j] = count[r.j, r.i] = r.c
         weight[r.i, r.j] = weight[r.j, r.i] = r.w
     return count, weight
 
 
+def weighed(claims: DataFrame, model: Model) -> DataFrame:
+    """(object, value, score, record, n) from claims (object, value, source; prior and record where there are): the log of
+    the posterior but for each object's constant. score is the prior of the value's best claim and the discounted votes
+    for the value; record is that claim's; n the number of claims."""
+    r = reduced(_claims(claims), model.names)
+    return r.select("object", "value", (F.col("best.prior") + _vote_udf(model.acc, model.dep)("s")).alias("score"), F.col("best.record").alias("record"), "n")
+
+
+def fuse(claims: DataFrame, model: Model | None = None, **options) -> DataFrame:
+    """(object, value, posterior, score, record): which value of an object is true, by maximum posterior.
+
+    Bayesian fusion: sources' accuracies and dependences (estimate(), unless a model is given), votes of copies
+    discounted, and the claims' own log priors. Claims are first reduced to one line a value, so a group with a third of
+    all rows sends few lines; what of it is left is joined to its total over several tasks. Claims with a null in
+    object, value or source are no claims. An empty table of claims gives an empty table.
+    """
+    model = model or estimate(claims, **options)
+    w = cut(weighed(claims, model))
+    top = w.groupBy("object").agg(F.max("score").alias("top"), F.count("*").alias("k"))
+    share = salted_join(w, top, ["object"]).withColumn("e", F.exp(F.col("score") - F.col("top")))
+    rest = F.greatest(F.lit(0.0), F.lit(N_FALSE + 1.0) - F.first("k")) * F.exp(-F.first("top"))
+    total = share.groupBy("object").agg((F.sum("e") + rest).alias("total"))
+    return salted_join(cut(share), total, ["object"]).select("object", "value", (F.col("e") / F.col("total")).alias("posterior"), "score", "record")
+
+
 def survivors(
-    rows: DataFrame, record: str, group: Column, source: Column, fields: dict[str, tuple[Column, Column]], lead: str, precedence: Column | None = None, flag: str = "代表"
+    rows: DataFrame, record: str, group: Column, source: Column, fields: dict[str, tuple[Column, Column]], lead: str, drift: float | None = 0.0, flag: str = "代表"
 ) -> DataFrame:
-    """(dup_group_id, field, record_id, posterior): the surviving record of each group and of each field.
-
-    fields: by name, the value that is compared and whether it is usable. Each usable value is a claim of its
-    source; fuse() gives the posterior of the values. A record's field is chosen by: usable, then precedence (a
-    prior odds so large that it decides alone, where the caller states one), then the posterior, then the larger
-    record id. The survivor (field `flag`) is chosen so by `lead`; a field keeps the survivor's own value where
-    usable. Without precedence the posterior decides. Groups of one record have no row; records delivered again
-    count once; null record ids and groups have none. A field nobody can supply has no row. All of it is
-    aggregated with max() over structs under partial aggregation: no group is gathered in one task.
+    """(dup_group_id, field, record_id, score): the surviving record of each group and of each field, by maximum posterior.
+
+    fields: by name, the value that is compared and whether it is usable. A record claims its values; the posterior
+    of a claim comes from the votes of all sources for its value (copies discounted) and from its log prior:
+    `drift` for each step of the record id, as an older record has more likely been overtaken (None: so much
+    that no vote makes up for it, for lists in which the last edit is the state; 0: age says nothing); less than any
+    usable claim for an unusable one; and, in the fields, more than any other for the survivor's own usable value, so
+    that the parts of a record stay together. The survivor (field `flag`) is the best claim of `lead`. Equal
+    posteriors go to the larger record id. Groups of one record have no row; records delivered again count once; null
+    record ids and groups have none. A field that nobody can supply has no row.
+    Claims are reduced to one line a value and the best is taken by max() over structs, both under partial
+    aggregation; the survivor's own values are looked up by record. No group is gathered in one task.
     """
     names = list(fields)
-    r = rows.select(group.alias("g"), F.col(record).cast("long").alias("r"), source.alias("source"), (precedence if precedence is not None else F.lit(0)).cast("long").alias("rank"), *[x for i, (v, ok) in enumerate(fields.values()) for x in (v.alias(f"v{i}"), ok.alias(f"k{i}"))])
+    r = rows.select(group.alias("g"), F.col(record).cast("long").alias("r"), source.alias("source"), *[x for i, (v, ok) in enumerate(fields.values()) for x in (v.alias(f"v{i}"), ok.alias(f"k{i}"))])
     r = r.where("g is not null and r is not null")
-    r = r.groupBy("g", "r").agg(F.min("source").alias("source"), F.max("rank").alias("rank"), *[F.max(F.struct(f"k{i}", f"v{i}")).alias(f"x{i}") for i in range(len(names))])
-    r = r.select("g", "r", "source", "rank", *[x for i in range(len(names)) for x in (F.col(f"x{i}.k{i}").alias(f"k{i}"), F.col(f"x{i}.v{i}").alias(f"v{i}"))])
-    many = r.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    r = cut(r.join(many, "g"))
-    long = r.select("g", "r", "source", "rank", F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"v{i}").alias("v"), F.col(f"k{i}").alias("k")) for i in range(len(names))])).alias("x")).select("g", "r", "source", "rank", "x.*")
-    key = F.concat_ws("\x1f", F.col("g"), F.col("f").cast("string"))
-    post = fuse(long.where("k").select(key.alias("object"), F.col("v").alias("value"), "source"))
-    long = long.withColumn("object", key).join(post.withColumnRenamed("value", "v"), ["object", "v"], "left").withColumn("posterior", F.coalesce("posterior", F.lit(0.0)))
-    best = F.struct("k", "rank", "posterior", "r")
-    long = cut(long.select("g", "r", "f", "k", "rank", "posterior"))
-    lead_at = names.index(lead)
-    first = long.where(F.col("f") == lead_at).groupBy("g").agg(F.max(best).alias("b")).select("g", F.col("b.r").alias("r"), F.col("b.posterior").alias("posterior"))
-    own = first.select("g", F.col("r").alias("own"))
-    picked = long.join(own, "g").groupBy("g", "f").agg(F.max(F.struct("k", (F.col("r") == F.col("own")).alias("mine"), "rank", "posterior", "r")).alias("b")).where("b.k")
+    r = r.groupBy("g", "r").agg(F.min(F.coalesce("source", F.lit(""))).alias("source"), *[F.max(F.struct(f"k{i}", f"v{i}")).alias(f"x{i}") for i in range(len(names))])
+    r = cut(r.select("g", "r", "source", *[x for i in range(len(names)) for x in (F.coalesce(f"x{i}.k{i}", F.lit(False)).alias(f"k{i}"), F.col(f"x{i}.v{i}").alias(f"v{i}"))]))
+
+    def claims(d: DataFrame, of: list[int]) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"v{i}").alias("value"), F.col(f"k{i}").alias("k")) for i in of])
+        d = d.select("g", "r", "source", F.explode(each).alias("x")).select("g", "r", "source", "x.*")
+        return d.withColumn("object", F.concat_ws("\x1f", "g", F.col("f").cast("string")))
+
+    model = estimate(claims(r, list(range(len(names)))).where("k"))
+    lo, hi = r.agg(F.min("r"), F.max("r")).first()
+    step = model.most if drift is None else float(drift)
+    sure = model.most + step * ((hi or 0) - (lo or 0) + 1)
+    age = (F.col("r") - F.lit(hi or 0)).cast("double") * step
+    at = names.index(lead)
+    first = claims(r, [at]).withColumn("value", F.when(F.col("k"), F.col("value")).otherwise("")).withColumn("prior", age - F.when(F.col("k"), 0.0).otherwise(2 * sure))
+    best = F.max(F.struct("score", "record")).alias("b")
+    leads = weighed(first.withColumn("record", F.col("r")), model).groupBy("object").agg(best, F.sum("n").alias("n")).where("n > 1")
+    leads = cut(leads.select(F.substring_index("object", "\x1f", 1).alias("g"), F.col("b.record").alias("r"), F.col("b.score").alias("score")))
+    rest = claims(r, list(range(len(names)))).where("k").withColumn("prior", age)
+    own = claims(r.join(leads.select("g", "r"), ["g", "r"]), list(range(len(names)))).where("k").withColumn("prior", age + sure)
+    got = weighed(rest.unionByName(own).withColumn("record", F.col("r")), model).groupBy("object").agg(best)
+    got = got.select(F.substring_index("object", "\x1f", 1).alias("g"), F.substring_index("object", "\x1f", -1).cast("int").alias("f"), F.col("b.record").alias("r"), F.col("b.score").alias("score"))
+    got = got.join(leads.select("g"), "g", "left_semi")
     label = F.element_at(F.array(*map(F.lit, names)), F.col("f") + 1)
-    return first.select(F.col("g").alias("dup_group_id"), F.lit(flag).alias("field"), F.col("r").alias("record_id"), "posterior").unionByName(
-        picked.select(F.col("g").alias("dup_group_id"), label.alias("field"), F.col("b.r").alias("record_id"), F.col("b.posterior").alias("posterior"))
+    return leads.select(F.col("g").alias("dup_group_id"), F.lit(flag).alias("field"), F.col("r").alias("record_id"), "score").unionByName(
+        got.select(F.col("g").alias("dup_group_id"), label.alias("field"), F.col("r").alias("record_id"), "score")
     )

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.width import narrow
+from ..operators.skew import salted_join
+from ..session import cut
 
 
 def hosts(c: Column) -> Column:
@@ -22,47 +25,54 @@ def hosts(c: Column) -> Column:
     return F.coalesce(named, F.array().cast("array<string>"))
 
 
-def heavy_terms(rows: DataFrame, term: str, most: int = 256) -> list[str]:
-    """At most `most` terms that may be heavy, from one pass with a bounded sketch; exactness doesn't hang on them."""
-    got = rows.agg(F.expr(f"approx_top_k(`{term}`, {most}, {most * 32})").alias("t")).first()["t"]
-    return [x[0] for x in got or [] if x[0] is not None]
+def heavy_terms(lists: DataFrame, terms: str, most: int = 256, share: float = 0.001) -> list[str]:
+    """At most `most` terms that seem to make up `share` of all occurrences or more, from one pass with a bounded sketch;
+    exactness doesn't hang on them."""
+    got = lists.select(F.explode(terms).alias("term")).agg(F.expr(f"approx_top_k(term, {most}, {most * 32})").alias("t"), F.count("term").alias("n")).first()
+    return sorted(x[0] for x in got["t"] or [] if x[0] is not None and x[1] >= share * got["n"])
 
 
-def frequencies(rows: DataFrame, record: str, terms: Column, heavy: int = 256) -> DataFrame:
+#: Record ids in several rows that are broadcast at most; more of them are joined.
+REPEATED = 1_000_000
+
+
+def frequencies(rows: DataFrame, record: str, terms: Column, heavy: int = 256, repeated: int = REPEATED) -> DataFrame:
     """(term, occurrences, records): how often each distinct term stands in `terms` and in how many records.
 
-    Heavy-light aggregation: the heavy terms are found by a sketch and broadcast (at most `heavy` strings, a
-    fixed bound); each task counts them in an exact array of counters and sends one line per heavy term; only the
-    other terms are shuffled by term. Rows are first brought together by (record, term), so that a record that
-    was delivered several times is one record while each delivery of a changed field still counts its
-    occurrences; that shuffle is spread by record and combines on the map side. Nothing is sampled or capped.
+    Heavy-light aggregation: heavy terms are found by a sketch and broadcast (at most `heavy` strings, a fixed bound);
+    each task counts them in an exact array of counters and sends one line a term; only the other terms are shuffled,
+    by term, and both tables are put together. A row whose record stands in no other row, and that names no term
+    twice, adds one occurrence and one record to each of its terms, so no heavy row is exchanged. Records that were
+    delivered several times are found by their bare ids; their rows, few as they are, take the exact way by
+    (record, term). These ids are broadcast up to `repeated` of them, else joined with hot ids spread.
     A null record id is one record of its own name-less kind: its terms count as occurrences, and as one record.
-    Null and empty fields name no term. Other columns of the rows don't matter.
+    Null and empty fields name no term. Other columns of the rows don't matter. Nothing is sampled or capped.
     """
-    each = (
-        rows.select(F.col(record).alias("_r"), F.explode(terms).alias("term")).where("term is not null")
-        .groupBy("_r", "term").agg(F.count("*").alias("n"))
-    )
-    top = sorted(heavy_terms(rows.select(F.explode(terms).alias("term")), "term", heavy))
-    if not top:
-        return each.groupBy("term").agg(F.sum("n").alias("occurrences"), F.count("*").alias("records"))
-    place = F.create_map(*[x for i, t in enumerate(top) for x in (F.lit(t), F.lit(i))])
-    each = each.withColumn("_h", F.try_element_at(place, F.col("term")))
+    base = rows.select(F.col(record).alias("_r"), F.filter(terms, lambda x: x.isNotNull()).alias("_t")).where("size(_t) > 0")
+    ids = rows.select(F.col(record).alias("_r")).where("_r is not null").groupBy("_r").agg(F.count("*").alias("_n")).where("_n > 1").select("_r", F.lit(True).alias("_again"))
+    ids = cut(ids)
+    if ids.limit(repeated + 1).count() <= repeated:
+        base = base.join(F.broadcast(ids), "_r", "left")
+    else:
+        base = salted_join(base, ids, ["_r"], "left")
+    twice = F.coalesce("_again", F.lit(False)) | F.col("_r").isNull() | (F.size(F.array_distinct("_t")) < F.size("_t"))
+    again = base.where(twice).select("_r", F.explode("_t").alias("term")).groupBy("_r", "term").agg(F.count("*").alias("n")).select("term", F.col("n").alias("occurrences"), F.lit(1).cast("long").alias("records"))
+    once = base.where(~twice).select(F.explode("_t").alias("term"))
+    top = heavy_terms(rows.select(terms.alias("_t")), "_t", heavy)
+    shape = "term string, occurrences long, records long"
 
     def count(batches):
-        n, r = np.zeros(len(top), np.int64), np.zeros(len(top), np.int64)
+        at, n = pa.array(top, pa.string()), np.zeros(len(top), np.int64)
         for b in batches:
-            h, k = b.column(0).to_numpy(), b.column(1).to_numpy()
-            np.add.at(n, h, k)
-            np.add.at(r, h, 1)
-        at = np.flatnonzero(r)
-        yield pa.RecordBatch.from_arrays([pa.array([top[i] for i in at], pa.string()), pa.array(n[at]), pa.array(r[at])], names=["term", "occurrences", "records"])
+            n += np.bincount(pc.index_in(b.column(0), at).to_numpy(zero_copy_only=False).astype(np.int64), minlength=len(top))
+        here = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array([top[i] for i in here], pa.string()), pa.array(n[here]), pa.array(n[here])], names=["term", "occurrences", "records"])
 
-    shape = "term string, occurrences long, records long"
-    local = each.where("_h is not null").select("_h", "n").mapInArrow(count, shape)
-    dense = local.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
-    light = each.where("_h is null").groupBy("term").agg(F.sum("n").alias("occurrences"), F.count("*").alias("records"))
-    return dense.unionByName(light)
+    one = F.lit(1).cast("long")
+    every = again.unionByName((once.where(~F.col("term").isin(top)) if top else once).select("term", one.alias("occurrences"), one.alias("records")))
+    if top:
+        every = every.unionByName(once.where(F.col("term").isin(top)).mapInArrow(count, shape))
+    return every.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
 
 
 def marked(counts: DataFrame, rare: int = 1, common: int = 20) -> DataFrame:

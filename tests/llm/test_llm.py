@@ -41,6 +41,9 @@ def test_frequencies_against_counting(spark):
     for heavy in (3, 64):
         got = {r.term: (r.occurrences, r.records) for r in terms.frequencies(d, "r", F.col("term"), heavy).collect()}
         assert got == {t: (n, len(who)) for t, (n, who) in want.items()}
+    assert {(r.term, r.occurrences, r.records) for r in terms.frequencies(d, "r", F.col("term"), repeated=2).collect()} == {(t, n, len(who)) for t, (n, who) in want.items()}
+    once = spark.range(2000).selectExpr("id r", "array('hot', concat('t', id % 700)) term")
+    assert {(r.occurrences, r.records) for r in terms.frequencies(once, "r", F.col("term")).where("term = 'hot'").collect()} == {(2000, 2000)}
     assert terms.frequencies(d.where("false"), "r", F.col("term")).count() == 0
     marks = {r.term: r.mark for r in terms.marked(terms.frequencies(d, "r", F.col("term"))).collect()}
     assert marks["n"] == "rare" and marks["hot"] == "common"
@@ -113,17 +116,42 @@ def test_fusion_discounts_copies(spark):
     assert fusion.fuse(d.where("false")).count() == 0
     with pytest.raises(ValueError):
         fusion.fuse(d, most_sources=2)
+    model = fusion.estimate(d, 4)
+    far = d.withColumn("prior", F.when(F.col("value").startswith("wrong"), model.most * 4).otherwise(0.0))
+    far = fusion.fuse(far, model).groupBy("object").agg(F.max_by("value", "score").alias("v"))
+    assert far.where("v like 'wrong%'").count() >= 280
 
 
 def test_survivors(spark):
     data = [(1, "G1", "u1", "z"), (2, "G1", None, "z2"), (3, "G1", None, None), (3, "G1", None, None), (4, "G2", None, None), (5, "G2", None, "z"), (6, "G3", "u", "z"), (7, None, "u", "z"), (None, "G1", "u", "z")]
     d = spark.createDataFrame(data, "rid long, grp string, url string, zip string").withColumn("posterior", F.lit("clash"))
     fields = {"url": (F.col("url"), F.col("url").isNotNull()), "zip": (F.col("zip"), F.col("zip").isNotNull())}
-    got = fusion.survivors(d, "rid", F.col("grp"), F.lit("s"), fields, "url", F.col("rid"), flag="rep")
+    got = fusion.survivors(d, "rid", F.col("grp"), F.lit("s"), fields, "url", None, flag="rep")
     assert rows(got, "dup_group_id", "field", "record_id") == [("G1", "rep", 1), ("G1", "url", 1), ("G1", "zip", 1), ("G2", "rep", 5), ("G2", "zip", 5)]
     assert fusion.survivors(d.where("false"), "rid", F.col("grp"), F.lit("s"), fields, "url").count() == 0
 
 
+def test_posterior_decides_the_survivors(spark, small, monkeypatch):
+    """Other posteriors give other rows: nothing stands beside the fusion."""
+    from hakari.llm import catalogue
+
+    got = {tuple(r) for r in catalogue.p1_found(spark, small).collect()}
+    whole = fusion.weighed
+    monkeypatch.setattr(fusion, "weighed", lambda c, m: whole(c, m).withColumn("score", F.rand(3)))
+    other = {tuple(r) for r in catalogue.p1_found(spark, small).collect()}
+    assert len(got & other) < 0.9 * len(got)
+    monkeypatch.setattr(fusion, "weighed", lambda c, m: whole(c.withColumn("prior", F.lit(0.0)) if "prior" in c.columns else c, m))
+    assert len({tuple(r) for r in catalogue.p1_found(spark, small).collect()} & got) < len(got)
+
+
+def test_a_hot_group_has_its_survivor(spark):
+    d = spark.range(3000).selectExpr("id rid", "if(id % 3 = 0, concat('G', id), 'G') grp", "if(id < 2990, concat('u', id % 700), null) url")
+    got = fusion.survivors(d, "rid", F.col("grp"), F.lit("s"), {"url": (F.col("url"), F.col("url").isNotNull())}, "url", None, flag="rep")
+    assert rows(got, "dup_group_id", "field", "record_id") == [("G", "rep", 2989), ("G", "url", 2989)]
+    whole = fusion.fuse(d.selectExpr("grp object", "url value", "'s' source")).groupBy("object").agg(F.sum("posterior").alias("p")).where("p > 1.000001")
+    assert whole.count() == 0
+
+
 # 3: places
 
 
@@ -311,9 +339,11 @@ def test_leaks(spark):
     ]
     d = spark.createDataFrame([x[:2] for x in docs], "doc_id long, text string").withColumn("share", F.lit(1))
     q = spark.createDataFrame([(50, whole), (51, "短い"), (52, None), (None, whole)], "item_id long, text string")
-    for block in (1, 100):
-        got = rows(leaks.leaks(d, q, "doc_id", "text", "item_id", "text", block=block), "item_id", "doc_id")
+    for bits in (22, 30):
+        got = rows(leaks.leaks(d, q, "doc_id", "text", "item_id", "text", most_bits=bits), "item_id", "doc_id")
         assert got == sorted({(50, i) for i, _, leak in docs if leak})
+    named = leaks.leaks(d.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), q.withColumn("item_id", F.concat(F.lit("q"), "item_id")), "doc_id", "text", "item_id", "text")
+    assert rows(named, "item_id", "doc_id") == sorted({("q50", f"d{i}") for i, _, leak in docs if leak})
     assert leaks.leaks(d, q.where("false"), "doc_id", "text", "item_id", "text").count() == 0 == leaks.leaks(d.where("false"), q, "doc_id", "text", "item_id", "text").count()
 
 
