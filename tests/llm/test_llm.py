@@ -1,6 +1,7 @@
 """Operators for training data: brute force, exact round trips, held-out accuracy, and hard inputs."""
 
 import itertools
+import os
 import random
 import re
 import unicodedata
@@ -184,12 +185,32 @@ def test_places(spark):
     assert of[1] == of[2] == of[3] == of[5] != of[6] and of[9] == of[10] != of[1] and 4 not in of and 7 not in of and 8 not in of
     got = {tuple(sorted(x)) for x in rows(places.same_place_pairs(p, 1), "record_id_a", "record_id_b")}
     assert got == {*itertools.combinations([1, 2, 3, 5], 2), (9, 10)}
+    again = dict(rows(places.places(d, per_block=1), "record", "place"))
+    assert {k: sorted(r for r in again if again[r] == v) for k, v in again.items()} == {k: sorted(r for r in of if of[r] == v) for k, v in of.items()}
     assert places.places(d.where("false")).count() == 0
 
 
 def test_linkage_separates():
-    w = places.linkage({"33232": 900, "23232": 60, "00200": 200, "00000": 100})
-    assert w["33232"] > 0.9 > 0.5 > w["00200"] and places.linkage({}) == {}
+    """One place, another town of the same city, and a town of the same name elsewhere."""
+    chance = {"020001": 700, "020101": 20, "320021": 60, "322321": 5, "022001": 15, "021001": 20}
+    w = places.linkage({"332321": 900, "232321": 60, "331321": 80, "330321": 9, "022001": 12, "020001": 1}, chance)
+    assert min(w["332321"], w["232321"], w["331321"]) > 0.9 and max(w["330321"], w["022001"], w["020001"]) < 0.1
+    assert places.linkage({}) == {}
+
+
+def test_weights_decide_the_places_and_blocks_lose_few(spark, small, monkeypatch):
+    """With all weights at one other pairs come out; with one block for each lot hardly any more do."""
+    from hakari.llm import catalogue
+
+    d = catalogue._addresses(spark, "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else small)
+    pairs = lambda: {tuple(r) for r in places.same_place_pairs(places.places(d)).collect()}
+    got = pairs()
+    with monkeypatch.context() as m:
+        m.setattr(places, "_keys", lambda lots: F.array(F.xxhash64(lots)))
+        every = pairs()
+    assert len(got & every) >= 0.99 * len(every) and len(got - every) <= 0.01 * len(got)
+    monkeypatch.setattr(places, "linkage", lambda counts, *a: dict.fromkeys(counts, 1.0))
+    assert pairs() != got
 
 
 # 4: variants
