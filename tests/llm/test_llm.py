@@ -194,7 +194,7 @@ def test_linkage_separates():
     """One place, another town of the same city, and a town of the same name elsewhere."""
     chance = {"020001": 700, "020101": 20, "320021": 60, "322321": 5, "022001": 15, "021001": 20}
     w = places.linkage({"332321": 900, "232321": 60, "331321": 80, "330321": 9, "022001": 12, "020001": 1}, chance)
-    assert min(w["332321"], w["232321"], w["331321"]) > 0.9 and max(w["330321"], w["022001"], w["020001"]) < 0.1
+    assert min(w["332321"], w["232321"], w["331321"]) > 0.9 and max(w["330321"], w["022001"], w["020001"]) < 0.5
     assert places.linkage({}) == {}
 
 
@@ -204,9 +204,19 @@ def test_weights_decide_the_places_and_blocks_lose_few(spark, small, monkeypatch
 
     d = catalogue._addresses(spark, "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else small)
     pairs = lambda: {tuple(r) for r in places.same_place_pairs(places.places(d)).collect()}
-    got = pairs()
+    fitted, model = {}, places.linkage
+    every_level = ["".join(map(str, x)) for x in itertools.product(*map(range, places.LEVELS.values()))]
+
+    def fit(counts, *a):
+        fitted.update(model(dict.fromkeys(every_level, 1e-9) | counts, *a))
+        return {k: fitted[k] for k in counts}
+
+    with monkeypatch.context() as m:
+        m.setattr(places, "linkage", fit)
+        got = pairs()
     with monkeypatch.context() as m:
         m.setattr(places, "_keys", lambda lots: F.array(F.xxhash64(lots)))
+        m.setattr(places, "linkage", lambda counts, *a: {k: fitted[k] for k in counts})
         every = pairs()
     assert len(got & every) >= 0.99 * len(every) and len(got - every) <= 0.01 * len(got)
     monkeypatch.setattr(places, "linkage", lambda counts, *a: dict.fromkeys(counts, 1.0))
@@ -251,17 +261,44 @@ def test_prefix_filter_loses_nothing(spark):
 
 
 def test_matches_against_brute_force(spark, small, monkeypatch):
+    """Recall of walks, hashing and confidence against all pairs under the exact check, with vectors fitted on all records
+    and on a tenth; and what is left of it when the vectors say nothing or belong to other records."""
     from hakari.llm import catalogue
 
     d = catalogue._two_sources(spark, small)
-    pairs = lambda: {(r.a, r.b) for r in matching.matches(d).select("a", "b").collect()}
-    got, whole = pairs(), matching.hashed
-    monkeypatch.setattr(matching, "hashed", lambda *a: whole(*a).withColumn("keys", F.array(F.lit(1).cast("long"))))
-    every = pairs()
-    split = matching._refined
-    monkeypatch.setattr(matching, "_refined", lambda k, r: split(k, r, 1))
-    assert pairs() == every
-    assert got <= every and len(got) >= 0.9 * len(every) > 0
+    pairs = lambda **k: {(r.a, r.b) for r in matching.matches(d, **k).select("a", "b").collect()}
+    got, few, whole, split = pairs(), pairs(fit=200), matching.hashed, matching._refined
+    with monkeypatch.context() as m:
+        m.setattr(matching, "hashed", lambda *a: whole(*a).withColumn("keys", F.array(F.lit(1).cast("long"))))
+        every = {(r.a, r.b) for r in matching.scored(d).where(matching.AGREED).select("a", "b").collect()}
+        m.setattr(matching, "_refined", lambda k, r: split(k, r, 1))
+        assert {(r.a, r.b) for r in matching.scored(d).where(matching.AGREED).select("a", "b").collect()} == every
+    assert got <= every and min(len(got), len(few)) >= 0.95 * len(every) > 0
+    with monkeypatch.context() as m:
+        none = lambda r: np.array(sorted(x.h for x in r.select(F.explode(F.flatten("tokens")).alias("h")).distinct().collect()), np.int64)
+        m.setattr(matching, "hashed", lambda r, v, c, b: whole(r, ((h := none(r)), np.zeros((len(h), matching.DIM), np.float32)), c, b))
+        assert len(pairs() & every) < 0.1 * len(every)
+    with monkeypatch.context() as m:
+        of = lambda *a: whole(*a).withColumns({k: F.expr(f"lag({k}, 7) over (partition by side order by id)") for k in ("keys", "vec", "named", "placed")})
+        m.setattr(matching, "hashed", of)
+        assert len(pairs() & every) < 0.5 * len(every)
+
+
+def test_confidence_decides(spark, small):
+    """The confidence alone, without the exact check, gives almost the same pairs."""
+    from hakari.llm import catalogue
+
+    f = matching.scored(catalogue._two_sources(spark, small)).withColumn("agreed", F.expr(matching.AGREED)).cache()
+    sure = f.where(f"confidence >= {matching.CUT}")
+    assert sure.where("agreed").count() >= 0.97 * sure.count() and sure.count() < 0.6 * f.count()
+    assert sure.where("agreed").count() >= 0.97 * f.where("agreed").count()
+    f.unpersist()
+
+
+def test_walks_go_from_record_to_record():
+    groups = [(np.array([0, 2, 2, 3]), np.array([0, 1, 1])), (np.array([0, 0, 1, 2]), np.array([2, 2]))]
+    lines = matching._walks(groups, 3, 5, 6, np.random.default_rng(1))
+    assert lines.shape == (15, 6) and set(lines.ravel().tolist()) <= {0, 1, 2} and (lines[5:10, 0] == 2).all()
 
 
 def test_matches_hard_rows(spark):
