@@ -27,7 +27,7 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 
 def nfkc(c: Column) -> Column:
-    """Compatibility form of Unicode; null becomes empty. The one function that needs a Python worker: use it once."""
+    """Compatibility form of Unicode; null becomes empty. It needs a Python worker: use it once a column."""
     return F.coalesce(_nfkc(c), F.lit(""))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..functions.text import blank
 
 
@@ -72,3 +73,26 @@ def outcomes(rows: DataFrame, url: Column, source: Column, hit: Column, hit_conf
 
 def histogram(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n"))
+
+
+def without_columns(rows: DataFrame, names: list[str]) -> DataFrame:
+    """rows without those of the columns that are there."""
+    return rows.drop(*[n for n in names if n in rows.columns])
+
+
+def merge_details(audit: DataFrame, details: DataFrame, record: str, codes: list[str], order: list[Column], known: list[str] = rules.DETAILS_KNOWN, hit: str = "hit") -> DataFrame:
+    """audit with the columns of details that it doesn't know, '' where there are none, and whether a row was found: by
+    record id (the last such row by `order`), else by code (the first). codes: columns of audit that may hold the code, the
+    first that has one counts. details has `record` and the last of the known code columns' names."""
+    own = [c for c in details.columns if c not in {*known, record, *codes}]
+    code = F.coalesce(*[F.nullif(blank(F.col(c).cast("string")), F.lit("")) for c in codes if c in audit.columns], F.lit(""))
+    theirs = next(c for c in codes if c in details.columns)
+    side = details.select(blank(F.col(record).cast("string")).alias("_rid"), blank(F.col(theirs).cast("string")).alias("_code"), F.struct(*order).alias("_at"), F.struct(*[F.col(c) for c in own]).alias("_d"))
+    j = fallback_join(audit, side, [(blank(F.col(record).cast("string")), F.col("_rid"), True), (code, F.col("_code"), False)], [F.col("_at")], ["_d"], "_hit")
+    return j.select(*audit.columns, *[F.coalesce(F.col(f"_hit._d.`{c}`").cast("string"), F.lit("")).alias(c) for c in own if c not in audit.columns], F.col("_hit").isNotNull().alias(hit))
+
+
+def hit_rate(merged: DataFrame, hit: str = "hit") -> DataFrame:
+    """One row: rows, rows with details, and their share (null without rows)."""
+    one = merged.agg(F.count("*").alias("n"), F.count_if(hit).alias("n_hit"))
+    return one.withColumn("share", F.try_divide(F.col("n_hit").cast("double"), F.col("n")))

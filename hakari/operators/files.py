@@ -10,11 +10,21 @@ from pyspark.sql import functions as F
 from .resolve import numbered
 
 
+def without_headers(rows: DataFrame) -> DataFrame:
+    """rows without repeated header lines: those that hold their column's name in every text column."""
+    text = [c for c, kind in rows.dtypes if kind == "string"]
+    if not text or len(text) < len(rows.columns):
+        return rows
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in text])
+    return rows.where(~same)
+
+
 def union_lists(lists: list[DataFrame], column: str = "list_id") -> DataFrame:
-    """The lists one after another, each row with the number of its list; missing columns are null."""
+    """The lists one after another, each row with the number of its list; missing columns are null, repeated header lines
+    of tables of text are dropped."""
     if not lists:
         raise ValueError("no list")
-    each = [d.withColumn(column, F.lit(i)) for i, d in enumerate(lists, 1)]
+    each = [without_headers(d).withColumn(column, F.lit(i)) for i, d in enumerate(lists, 1)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each)
 
 

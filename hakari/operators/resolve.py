@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank
 from ..session import cut
+from .skew import salted_join
 
 
 def numbered(keys: DataFrame, order: list[str], name: str = "n", parts: int | None = None) -> DataFrame:
@@ -23,33 +24,39 @@ def numbered(keys: DataFrame, order: list[str], name: str = "n", parts: int | No
     return ranged.join(F.broadcast(before), "_p").withColumn(name, place).drop("_p", "_b")
 
 
+def _told_apart(rows: DataFrame, record: str, url: str, order: str | None) -> DataFrame:
+    """rows with the struct _r that orders them within a group: a URL, the record id, earliness by `order`, and at last a
+    number that no other row has. Written once, so that the number stays the same however often it is read."""
+    has = (blank(F.col(url)) != "").cast("int")
+    first = (-F.col(order) if order else F.lit(0)).cast("bigint")
+    rank = F.struct(has.alias("u"), F.coalesce(F.col(record).cast("string").try_cast("bigint"), F.lit(0)).alias("r"), first.alias("o"), (-F.monotonically_increasing_id()).alias("n"))
+    return rows.withColumn("_r", rank)
+
+
 def duplicate_groups(rows: DataFrame, kind: str, key: str, record: str, url: str, order: str | None = None) -> DataFrame:
     """rows with dup_gid and is_rep: the group's number in the order of all keys, on groups of two or more; '1' on
-    the row that has a URL, else the highest record id, else comes first by `order`.
+    the one row that has a URL, else the highest record id, else comes first by `order`, else by the rows' own order.
 
     Numbers are given over all distinct keys (sparse, as only groups show theirs). Representatives come from max()
-    under partial aggregation, so a key that a third of all rows share does not gather them in one task.
+    under partial aggregation, and the rows of a key that a third of them share are joined over several tasks.
     Null keys are one group of their own; empty input gives an empty table.
     """
-    has = (blank(F.col(url)) != "").cast("int")
-    rank = F.struct(has.alias("u"), F.coalesce(F.col(record).cast("string").try_cast("bigint"), F.lit(0)).alias("r"), (-F.col(order) if order else F.lit(0)).cast("bigint").alias("o"))
     k, v = F.coalesce(F.col(kind), F.lit("")), F.coalesce(F.col(key), F.lit(""))
-    keyed = rows.withColumn("_k", k).withColumn("_v", v).withColumn("_r", rank)
+    keyed = cut(_told_apart(rows.withColumn("_k", k).withColumn("_v", v), record, url, order))
     groups = keyed.groupBy("_k", "_v").agg(F.count("*").alias("_size"), F.max("_r").alias("_best"))
     groups = numbered(groups, ["_k", "_v"], "_at")
-    out = keyed.join(groups, ["_k", "_v"])
+    out = salted_join(keyed, groups, ["_k", "_v"])
     gid = F.when(F.col("_size") > 1, F.format_string("G%06d", "_at")).otherwise("")
     return out.withColumn("dup_gid", gid).withColumn("is_rep", F.when(F.col("_r") == F.col("_best"), "1").otherwise("")).drop("_k", "_v", "_r", "_size", "_best", "_at")
 
 
 def duplicate_groups_early(rows: DataFrame, kind: str, key: str, record: str, url: str, order: str) -> DataFrame:
-    """The earlier form: every group has a number, by first appearance; the flag says 代表 or 重複."""
-    has = (blank(F.col(url)) != "").cast("int")
-    rank = F.struct(has.alias("u"), F.coalesce(F.col(record).cast("string").try_cast("bigint"), F.lit(0)).alias("r"), (-F.col(order)).cast("bigint").alias("o"))
-    keyed = rows.withColumn("_r", rank)
-    groups = numbered(keyed.groupBy(kind, key).agg(F.min(order).alias("_first"), F.max("_r").alias("_best")), ["_first"], "_at")
-    out = keyed.join(groups, [kind, key])
-    return out.withColumn("dup_gid", F.format_string("G%06d", "_at")).withColumn("is_rep", F.when(F.col("_r") == F.col("_best"), "代表").otherwise("重複")).drop("_r", "_first", "_best", "_at")
+    """The earlier form: every group has a number, by first appearance; the flag says 代表 on one row and 重複 on the others."""
+    k, v = F.coalesce(F.col(kind), F.lit("")), F.coalesce(F.col(key), F.lit(""))
+    keyed = cut(_told_apart(rows.withColumn("_k", k).withColumn("_v", v), record, url, order))
+    groups = numbered(keyed.groupBy("_k", "_v").agg(F.min(order).alias("_first"), F.max("_r").alias("_best")), ["_first"], "_at")
+    out = salted_join(keyed, groups, ["_k", "_v"])
+    return out.withColumn("dup_gid", F.format_string("G%06d", "_at")).withColumn("is_rep", F.when(F.col("_r") == F.col("_best"), "代表").otherwise("重複")).drop("_k", "_v", "_r", "_first", "_best", "_at")
 
 
 def collision_flags(rows: DataFrame, name: str, zip_: str, addr: str, out: str = "warn") -> DataFrame:
@@ -90,15 +97,12 @@ def backfill_unique(rows: DataFrame, base: DataFrame, keys: list[tuple[Column, C
     return out.withColumn(target, F.col("_got")).drop("_got")
 
 
-def duplicate_report(rows: DataFrame, kind: str, key: str, name: str, order: str, most: int = 20) -> DataFrame:
-    """(kind, key, n, names) of keys on two or more rows; names are the first `most` by `order`, by rank, so that no
-    group is collected whole."""
-    groups = rows.groupBy(kind, key).agg(F.count("*").alias("n")).where("n > 1")
-    r = rows.join(groups.select(F.col(kind).alias("_a"), F.col(key).alias("_b")), F.col(kind).eqNullSafe(F.col("_a")) & F.col(key).eqNullSafe(F.col("_b")), "left_semi")
-    r = r.withColumn("_k", F.row_number().over(Window.partitionBy(kind, key).orderBy(order))).where(F.col("_k") <= most)
-    names = r.groupBy(F.col(kind).alias("_a"), F.col(key).alias("_b")).agg(F.array_sort(F.collect_list(F.struct("_k", F.coalesce(F.col(name), F.lit("")).alias("v")))).alias("x"))
-    out = groups.join(names, F.col(kind).eqNullSafe(F.col("_a")) & F.col(key).eqNullSafe(F.col("_b")))
-    return out.select(kind, key, "n", F.transform("x", lambda x: x.v).alias("names"))
+def duplicate_report(rows: DataFrame, kind: str, key: str, name: str, order: str) -> DataFrame:
+    """(kind, key, n, order, name): every member of the keys that two or more rows have, a row each, with the group's size.
+    Groups of any size come out whole and none is collected; null kinds and keys are empty, a null name too."""
+    r = cut(rows.select(F.coalesce(F.col(kind), F.lit("")).alias(kind), F.coalesce(F.col(key), F.lit("")).alias(key), order, F.coalesce(F.col(name), F.lit("")).alias(name)))
+    groups = r.groupBy(kind, key).agg(F.count("*").alias("n")).where("n > 1")
+    return salted_join(r, groups, [kind, key]).select(kind, key, "n", order, name)
 
 
 def repaired(found: DataFrame, verified: DataFrame, details: DataFrame, base: DataFrame, record: str, code: str, name_addr: str) -> dict[str, DataFrame]:

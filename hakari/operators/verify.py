@@ -115,7 +115,7 @@ def _best_codes(texts: list[dict], recs: list[dict]) -> list[int]:
 
 
 def _scored(pairs: DataFrame, pages: DataFrame) -> DataFrame:
-    """(record, idx, url, points, reasons): the best evidence of each pair over all texts of its URL.
+    """(record, idx, url, points, reasons, error): the best evidence of each pair over all texts of its URL.
 
     pairs: (record, idx, url, _n, _p, _x, _c), once each; pages: (url, html), any number a URL. Equal texts are one. A
     URL's texts and pairs are brought together, in parts where there are many, and each text is folded once.
@@ -139,14 +139,38 @@ def _scored(pairs: DataFrame, pages: DataFrame) -> DataFrame:
     def go(batches):
         for b in batches:
             recs, texts = b.column(1).to_pylist(), b.column(2)
-            codes = [x for i, of in enumerate(recs) for x in _best_codes(texts[i].as_py(), of)]
+            codes, errors = [], []
+            for i, of in enumerate(recs):
+                try:
+                    got, said = _best_codes(texts[i].as_py(), of), None
+                except Exception as e:  # a page that can't be judged is a row that says so, not a failed task
+                    got, said = [0] * len(of), str(e) or type(e).__name__
+                codes += got
+                errors += [said] * len(of)
             flat, row = b.column(1).flatten(), np.repeat(np.arange(b.num_rows), [len(of) for of in recs])
-            yield pa.RecordBatch.from_arrays([flat.field("record"), flat.field("idx"), b.column(0).take(pa.array(row)), pa.array(codes, pa.int32())], names=["record", "idx", "url", "code"])
+            yield pa.RecordBatch.from_arrays([flat.field("record"), flat.field("idx"), b.column(0).take(pa.array(row)), pa.array(codes, pa.int32()), pa.array(errors, pa.string())], names=["record", "idx", "url", "code", "error"])
 
-    s = r.join(t, ["url", "_i"]).select("url", "recs", "texts").mapInArrow(go, f"record {kind}, idx {order}, url string, code int")
-    s = s.groupBy("record", "idx", "url").agg(F.max("code").alias("code"))
+    s = r.join(t, ["url", "_i"]).select("url", "recs", "texts").mapInArrow(go, f"record {kind}, idx {order}, url string, code int, error string")
+    s = s.groupBy("record", "idx", "url").agg(F.max("code").alias("code"), F.max("error").alias("error"))
     why = [F.when(c("code").bitwiseAND(bit) > 0, F.lit(w)) for bit, w in ((8, "電話一致"), (4, "番地一致"), (2, "施設名一致"), (1, "市区町村一致"))]
-    return s.select("record", "idx", "url", F.shiftright("code", 4).alias("points"), F.array_compact(F.array(*why)).alias("reasons"))
+    return s.select("record", "idx", "url", F.shiftright("code", 4).alias("points"), F.array_compact(F.array(*why)).alias("reasons"), "error")
+
+
+def _with_subpages(first: DataFrame, pairs: DataFrame, pages: DataFrame) -> DataFrame:
+    """first, as _scored() gives it, with the evidence of page and subpage together where that is better: for first
+    candidates that fall short, over the two hinted pages of their host that the page links to, where these are stored."""
+    from ..functions.html import subpages
+
+    short = first.where((F.col("idx") == 0) & (F.col("points") < rules.HIGH)).select("record", "idx", "url")
+    linked = pages.where(F.lower("html").contains("href")).join(short.select("url").distinct(), "url", "left_semi")
+    linked = linked.select("url", "html", F.explode(subpages(F.col("html"), F.col("url"))).alias("sub"))
+    both = linked.join(pages.select(F.col("url").alias("sub"), F.col("html").alias("more")), "sub").select("url", F.concat_ws(" ", "html", "more").alias("html"))
+    both = cut(both)
+    if not both.limit(1).count():
+        return first
+    again = _scored(cut(pairs.join(short, ["record", "idx", "url"], "left_semi")), both).select("record", "idx", "url", F.struct("points", "reasons").alias("_s"))
+    x = first.join(again, ["record", "idx", "url"], "left").withColumn("_e", with_subpage(F.struct("points", "reasons"), F.col("_s"), F.col("idx")))
+    return x.select("record", "idx", "url", "_e.points", "_e.reasons", "error")
 
 
 def judge(records: DataFrame, cands: DataFrame, pages: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -154,8 +178,9 @@ def judge(records: DataFrame, cands: DataFrame, pages: DataFrame, extra: list[st
     pages (url, html), any number a URL: of its texts that with the most points counts, and of equal points the one
     with a telephone, then a lot, then a name.
 
-    Blocked and unfetched candidates are passed over; pages are joined on URL, never fetched here. Texts and records
-    are folded once, and only those that meet.
+    Blocked and unfetched candidates are passed over; pages are joined on URL, never fetched here. A first candidate that
+    falls short is looked at together with its subpages. Texts and records are folded once, and only those that meet. A
+    record without a fitting page has the sentinel as URL; one whose pages can't be judged says why.
     """
     from ..functions.url import blocked_for
 
@@ -164,9 +189,24 @@ def judge(records: DataFrame, cands: DataFrame, pages: DataFrame, extra: list[st
     pairs = cands.select("record", "idx", "url").where(~blocked(F.col("url"), extra)).join(there, "url", "left_semi").distinct()
     s = pairs.join(records.select("record", "name", "addr", "phone"), "record").where(~blocked_for(F.col("url"), F.col("name"), extra))
     s = s.withColumn("_a", T.nfkc(F.col("addr"))).withColumn("_n", T.name_key(T.nfkc(F.col("name")))).withColumn("_p", T.phone_digits(T.nfkc(F.col("phone"))))
-    s = s.select("record", "idx", "url", "_n", "_p", T.address_numbers(F.col("_a")).alias("_x"), T.name_key(T.city_part(F.col("_a"))).alias("_c"))
-    best = best_candidate(_scored(cut(s), pages), "record", "idx", "points", ["url", "reasons"])
+    s = cut(s.select("record", "idx", "url", "_n", "_p", T.address_numbers(F.col("_a")).alias("_x"), T.name_key(T.city_part(F.col("_a"))).alias("_c")))
+    scored = cut(_with_subpages(cut(_scored(s, pages)), s, pages))
+    best = best_candidate(scored, "record", "idx", "points", ["url", "reasons"])
+    failed = scored.where("error is not null").groupBy("record").agg(F.min_by("error", "idx").alias("error"))
     tried = cands.groupBy("record").agg(F.count("*").alias("tried"), F.min_by("url", "idx").alias("top"))
-    out = records.select("record").join(tried, "record", "left").join(best, "record", "left")
-    conf = band(F.coalesce("points", F.lit(0)))
-    return out.select("record", F.when(conf == "未検出", "").otherwise(F.col("url")).alias("url"), conf.alias("confidence"), verdict(F.col("points"), F.col("reasons"), F.coalesce("tried", F.lit(0)), F.col("top")).alias("reason"))
+    out = records.select("record").join(tried, "record", "left").join(best, "record", "left").join(failed, "record", "left")
+    bad = F.col("error").isNotNull()
+    conf = F.when(bad, "未検出").otherwise(band(F.coalesce("points", F.lit(0))))
+    reason = F.when(bad, F.concat(F.lit("照合エラー: "), "error")).otherwise(verdict(F.col("points"), F.col("reasons"), F.coalesce("tried", F.lit(0)), F.col("top")))
+    return out.select("record", F.when(conf == "未検出", rules.NOT_FOUND).otherwise(F.col("url")).alias("url"), conf.alias("confidence"), reason.alias("reason"))
+
+
+def hours_found(judged: DataFrame, pages: DataFrame) -> DataFrame:
+    """(record, url, hours, source): opening hours of the adopted page (judged: record, url), else of the one hinted page
+    of its host behind it, with the URL they are from; pages: (url, html), one row a URL."""
+    from ..functions.html import opening_hours, page_or_subpage, subpages
+
+    p = judged.where(F.col("url") != rules.NOT_FOUND).join(pages, "url").withColumn("sub", F.get(subpages(F.col("html"), F.col("url"), rules.HOURS_LINK_HINTS, 1), F.lit(0)))
+    p = p.join(pages.select(F.col("url").alias("sub"), F.col("html").alias("more")), "sub", "left")
+    p = p.withColumn("own", opening_hours("html")).withColumn("behind", F.when(F.col("more").isNotNull(), opening_hours("more")))
+    return p.select("record", "url", page_or_subpage(F.col("own"), F.col("url"), F.col("behind"), F.col("sub")).alias("h")).select("record", "url", "h.hours", "h.source")

@@ -20,7 +20,9 @@ from ..operators import incremental as I
 from ..operators import report as R
 from ..operators import resolve as RS
 from ..operators import verify as V
-from ..session import table
+from ..functions import width as W
+from ..session import scratch, table
+from ..sources import files as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,7 +87,17 @@ def url_hosts(spark, folder):
     return work(spark, folder).select("rid", U.host(F.col("url")).alias("host"), U.blocked(F.col("url")).alias("blocked"))
 
 
-@query()
+_EXTRA = "(select lower(trim(host)) from extra_blocked where trim(host) <> '' and not starts_with(host, '#'))"
+
+
+def _blocked_for_sql(url: str, name: str) -> str:
+    """The portals, the extra hosts, and municipal hosts unless the name is that of a public facility."""
+    h = _HOST(url)
+    ends = " or ".join(f"ends_with({h}, '{x}')" for x in rules.PUBLIC_SUFFIXES)
+    return f"({_blocked_sql(url)} or {h} in {_EXTRA} or (({ends} or regexp_matches({h}, '(^|\\.)({'|'.join(rules.PUBLIC_LABELS)})\\.')) and not regexp_matches(coalesce({name}, ''), '{'|'.join(rules.PUBLIC_WORDS)}')))"
+
+
+@query(f"with {_W} select rid, {_blocked_for_sql('url', 'name')} as blocked from w")
 def blocked_for_name(spark, folder):
     x = _extra(spark, folder)
     return work(spark, folder).select("rid", U.blocked_for(F.col("url"), F.col("name"), x).alias("blocked"))
@@ -140,10 +152,10 @@ def dedup_groups_early(spark, folder):
     return RS.duplicate_groups_early(w, "kk", "ky", "rid", "url", "rid").select("rid", "dup_gid", "is_rep")
 
 
-@query(f"""with {_W}, {_KEY}, x as (select key_kind, "key", coalesce(name,'') nm, row_number() over (partition by key_kind, "key" order by rid) k from d)
-select key_kind, "key", count(*) n, string_agg(nm, ' / ' order by k) filter (k <= 20) as names from x group by 1, 2 having count(*) > 1""")
+@query(f"""with {_W}, {_KEY}, g as (select key_kind, "key", count(*) n from d group by 1, 2 having count(*) > 1)
+select key_kind, "key", n, rid, coalesce(name,'') as name from d join g using (key_kind, "key")""")
 def duplicate_report(spark, folder):
-    return RS.duplicate_report(keyed(spark, folder), "key_kind", "key", "name", "rid").withColumn("names", F.array_join("names", " / "))
+    return RS.duplicate_report(keyed(spark, folder), "key_kind", "key", "name", "rid")
 
 
 _FLAGS = f"""f as (select *, count(*) over (partition by norm) cn, count(*) over (partition by substr({_D('zip')},1,7), coalesce(addr,'')) ca, substr({_D('zip')},1,7) z7 from %s),
@@ -248,18 +260,22 @@ def next_batch(spark, folder):
     return I.todo(work(spark, folder), done, F.col("rid"), F.col(ID), "url", 50, F.col("rid")).select("rid")
 
 
-_BAD = _blocked_sql("u") + f" or {_HOST('u')} in (select lower(trim(host)) from extra_blocked where trim(host) <> '' and not starts_with(host, '#'))"
-_V = f"""v as (select distinct "{ID}" rid, "{URL}" url, {_STRIP('"' + URL + '"')} u from output_rows), dr as (select * from v where u <> '' and not starts_with(u,'（') and ({_BAD}))"""
+_V = f"""v as (select distinct "{ID}" rid, "{URL}" url, "{NAME}" nm, {_STRIP('"' + URL + '"')} u from output_rows), dr as (select * from v where u <> '' and not starts_with(u,'（') and {_blocked_for_sql('u', 'nm')})"""
 
 
 def _recheck(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    v = table(spark, folder, "output_rows").select(F.col(ID).alias("rid"), F.col(URL).alias("url")).distinct()
-    return I.invalidated(v, F.col("url"), U.blocked(T.blank(F.col("url")), _extra(spark, folder)))
+    v = table(spark, folder, "output_rows").select(F.col(ID).alias("rid"), F.col(URL).alias("url"), F.col(NAME).alias("name")).distinct()
+    return I.invalidated(v, F.col("url"), U.blocked_for(T.blank(F.col("url")), F.col("name"), _extra(spark, folder)))
 
 
-@query(f"with {_V} select rid, url from v where rid not in (select rid from dr where rid is not null) or not exists (select 1 from dr where dr.rid = v.rid and dr.u = v.u)")
+@query(f"with {_V} select rid, url from v except all select rid, url from dr")
 def recheck_kept(spark, folder):
-    return _recheck(spark, folder)[0]
+    return _recheck(spark, folder)[0].select("rid", "url")
+
+
+@query(f"with {_V} select rid, url from dr")
+def recheck_dropped(spark, folder):
+    return _recheck(spark, folder)[1].select("rid", "url")
 
 
 @query(f"with {_W}, {_V} select w.rid from w where w.rid not in (select rid from dr)")
@@ -305,16 +321,16 @@ def qa_top_hosts(spark, folder):
     return R.top_values(_high(spark, folder), U.host(F.col(URL)), "host")
 
 
-@query(f"""with {_HIGH}, s as (select "{URL}" url, count(*) n from h group by 1 having count(*) >= 5 order by n desc, url limit 10),
+@query(f"""with {_HIGH}, s as (select "{URL}" url, count(*) n from h group by 1 having count(*) >= 2 order by n desc, url limit 10),
 e as (select "{URL}" url, "{NAME}" nm, row_number() over (partition by "{URL}" order by "{ID}", "出力日時") k from h)
 select s.url, s.n, string_agg(e.nm, ' / ' order by k) filter (k <= 3) as examples from s join e using (url) group by s.url, s.n""")
 def qa_shared_urls(spark, folder):
-    return R.shared_values(_high(spark, folder), F.col(URL), F.col(NAME), F.struct(F.col(ID), F.col("出力日時")), "url").withColumn("examples", F.array_join("examples", " / "))
+    return R.shared_values(_high(spark, folder), F.col(URL), F.col(NAME), F.struct(F.col(ID), F.col("出力日時")), "url", least=2).withColumn("examples", F.array_join("examples", " / "))
 
 
-@query(f"""with {_HIGH} select "{ID}" rid, "{URL}" url from h where {_blocked_sql('"' + URL + '"')} or {_HOST('"' + URL + '"')} in (select lower(trim(host)) from extra_blocked where trim(host) <> '' and not starts_with(host, '#'))""")
+@query(f"""with {_HIGH} select "{ID}" rid, "{URL}" url from h where {_blocked_for_sql('"' + URL + '"', '"' + NAME + '"')}""")
 def qa_blocked_high(spark, folder):
-    return R.violations(_high(spark, folder), U.blocked(F.col(URL), _extra(spark, folder))).select(F.col(ID).alias("rid"), F.col(URL).alias("url"))
+    return R.violations(_high(spark, folder), U.blocked_for(F.col(URL), F.col(NAME), _extra(spark, folder))).select(F.col(ID).alias("rid"), F.col(URL).alias("url"))
 
 
 @query("""select count(*) n, count(*) filter (coalesce("ウェブサイトURL",'') <> '') n_url, count(*) filter (coalesce("郵便番号",'') <> '') n_zip, count(*) filter (coalesce("市区町村",'') <> '') n_addr from output_rows""")
@@ -446,3 +462,223 @@ def progress(spark, folder):
 @query()
 def sampled_for_review(spark, folder):
     return R.sample_of(_high(spark, folder).select(F.col(ID).alias("rid"), F.col(URL).alias("url")))
+
+
+_NARROW = lambda c: "translate(coalesce({},''), '{}', '{}')".format(c, W._WIDE, W._NARROW.replace("'", "''"))
+_SPACE = r"[\s\x{b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _name_sql(c: str, legal: list[str]) -> str:
+    for w in legal:
+        c = f"replace({c}, '{w}', '')"
+    noise = rules.NAME_NOISE.replace("\\s", _SPACE[1:-1]).replace("'", "''")
+    return f"lower(regexp_replace({c}, '{noise}', '', 'g'))"
+
+
+@query(f"with {_W} select rid, {_name_sql(_NARROW('name'), rules.LEGAL_FORMS)} as name_key, {_name_sql(_NARROW('name'), T.LEGAL_FORMS_EARLY)} as early from w")
+def name_keys_narrow(spark, folder):
+    n = W.narrow(F.coalesce("name", F.lit("")))
+    return work(spark, folder).select("rid", T.name_key(n).alias("name_key"), T.name_key(n, T.LEGAL_FORMS_EARLY).alias("early"))
+
+
+_ANY = r"[^\n\r\x{85}\x{2028}\x{2029}]+?"
+_FIRST = lambda a, p: f"nullif(regexp_extract({a}, '^({p})', 1), '')"
+_CITY = lambda a: "coalesce(" + ", ".join(_FIRST(a, _ANY + x) for x in (f"市{_ANY}区", "市", "区", "町", "村")) + f", substr({a}, 1, 6))"
+
+
+@query(f"with {_W}, x as (select rid, {_NARROW('addr')} a, {_NARROW('name')} nm from w) select rid, {_CITY('a')} as city, coalesce({_FIRST('a', f'{_ANY}市{_ANY}区|{_ANY}[市区町村]')}, substr(a, 1, 6)) as early, concat_ws(' ', {_STRIP('nm')}, {_CITY('a')}, '公式サイト') as query from x")
+def city_parts(spark, folder):
+    a, n = W.narrow(F.coalesce("addr", F.lit(""))), W.narrow(F.coalesce("name", F.lit("")))
+    return work(spark, folder).select("rid", T.city_part(a).alias("city"), T.city_part_early(a).alias("early"), T.search_query(n, a).alias("query"))
+
+
+def _clock_sql(c: str) -> str:
+    h, m = f"try_cast(regexp_extract({c}, '([0-9]{{1,2}})\\s*[:：時]', 1) as int)", f"coalesce(try_cast(regexp_extract({c}, '[0-9]{{1,2}}\\s*[:：時]\\s*([0-9]{{1,2}})', 1) as int), 0)"
+    return f"case when {h} <= 24 and {m} <= 59 then lpad({h}::varchar, 2, '0') || ':' || lpad({m}::varchar, 2, '0') else '' end"
+
+
+_RANGE = "([0-9]{1,2}\\s*[:：時]\\s*[0-9]{0,2})\\s*[~〜～\\-−–—ー]\\s*([0-9]{1,2}\\s*[:：時]\\s*[0-9]{0,2})"
+
+
+@query(f"""with d as (select doc_id, {_NARROW('text')} f from documents),
+r as (select doc_id, f, regexp_extract_all(f, '{_RANGE}', 1) a, regexp_extract_all(f, '{_RANGE}', 2) b from d),
+x as (select doc_id, unnest(a) a, unnest(b) b, generate_subscripts(a, 1) i from r),
+y as (select doc_id, i, {_clock_sql('a')} p, {_clock_sql('b')} q from x),
+z as (select doc_id, p || '-' || q t, min(i) i from y where p <> '' and q <> '' and p <> q group by 1, 2),
+g as (select doc_id, string_agg(t, '|' order by i) ranges from z group by 1)
+select d.doc_id, {_clock_sql('f')} as clock, coalesce(ranges, '') as ranges from d left join g on d.doc_id = g.doc_id""")
+def times_in_documents(spark, folder):
+    d = table(spark, folder, "documents").withColumn("f", W.narrow(F.coalesce("text", F.lit(""))))
+    return d.select("doc_id", C.clock(F.col("f")).alias("clock"), F.array_join(C.time_ranges(F.col("f")), "|").alias("ranges"))
+
+
+@query(f"""with d as (select doc_id, {_NARROW('text')} f from documents), t as (select doc_id, regexp_replace(regexp_extract(f, '(?:休診日?|休み|定休日?)\\s*[:：]?\\s*([^\\n。]{{1,60}})', 1), '^[ |:：・]+|[ |:：・]+$', '', 'g') t from d)
+select doc_id, trim(regexp_split_to_array(t, '\\s{{2,}}|\\|')[1]) as phrase from t""")
+def closed_phrases(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", C.closed_phrase(W.narrow(F.coalesce("text", F.lit("")))).alias("phrase"))
+
+
+def _departments_sql(source: str) -> str:
+    """The names taken out one after another, longest first; each masked where it first stands."""
+    parts = [f"n0 as ({source})"]
+    for i, w in enumerate(D.NAMES):
+        parts.append(f"n{i + 1} as (select rid, regexp_replace(t, '{w}', '{D._MASK * len(w)}') t, case when contains(t, '{w}') then list_append(f, '{w}') else f end f from n{i})")
+    pairs = ", ".join(f"'{k}': '{v}'" for k, v in rules.BASIC_AREA.items() if v)
+    areas = f"list_filter(list_transform(f, lambda x: map {{{pairs}}}[x]), lambda x: x is not null)"
+    return f"with {', '.join(parts)}, z as (select rid, f, {areas} a from n{len(D.NAMES)}) select rid, array_to_string(f, '・') as names, array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i), ';') as areas from z"
+
+
+@query(_departments_sql(f"""select distinct "{ID}" rid, {_NARROW('"' + NAME + '"')} t, []::varchar[] f from work_rows"""))
+def departments_in_names(spark, folder):
+    d = table(spark, folder, "work_rows").select(F.col(ID).alias("rid"), D.departments(W.narrow(F.coalesce(NAME, F.lit("")))).alias("f")).distinct()
+    return d.select("rid", F.array_join("f", "・").alias("names"), F.array_join(D.basic_areas(F.col("f")), ";").alias("areas"))
+
+
+@query(f"""select {_STRIP('"' + ID + '"::varchar')} as record_id, {_STRIP('"' + NAME + '"')} as name, {_STRIP('"' + CODE + '"')} as code, {_STRIP('"' + ZIP + '"')} as zip, {_STRIP('"' + PREF + '"')} as pref, {_STRIP('"' + ADDR + '"')} as addr, {_STRIP('"' + URL + '"')} as url, '' as phone from work_rows""")
+def logical_columns(spark, folder):
+    return S.logical(table(spark, folder, "work_rows"))
+
+
+@query(f"""with c as (select "{ID}" rid, "出力日時" seen, unnest(string_split({_STRIP('"' + URL + '"')}, ' ')) u, generate_subscripts(string_split({_STRIP('"' + URL + '"')}, ' '), 1) i from output_rows),
+k as (select *, row_number() over (partition by rid, seen order by i) k from c where u <> '' and not {_blocked_sql('u')})
+select rid, k - 1 as idx, u as url from k where k <= 5""")
+def first_candidates(spark, folder):
+    o = table(spark, folder, "output_rows")
+    hits = F.transform(F.split(T.blank(F.col(URL)), " "), lambda x: F.struct(x.alias("url")))
+    return o.select(F.col(ID).alias("rid"), F.posexplode(V.candidates(hits)).alias("idx", "c")).select("rid", F.col("idx").cast("long").alias("idx"), "c.url")
+
+
+_MERGED = f"""dt as (select "{ID}"::varchar rid, {_STRIP('"' + CODE + '"')} code, coalesce("正規化名",'') norm, coalesce("名寄せキー種別",'') kind, "取込日時" seen from work_rows),
+mr as (select rid, max_by(row(norm, kind), seen) h from dt group by rid), mc as (select code, min_by(row(norm, kind), row(seen, rid)) h from dt where code <> '' group by code),
+m as (select o."{ID}" rid, o."出力日時" seen, coalesce(mr.h, mc.h) h from output_rows o left join mr on o."{ID}"::varchar = mr.rid left join mc on {_STRIP('o."' + CODE + '"')} <> '' and {_STRIP('o."' + CODE + '"')} = mc.code)"""
+
+
+def _merged(spark: SparkSession, folder: str) -> DataFrame:
+    a = table(spark, folder, "output_rows").select(F.col(ID), F.col(CODE), F.col("出力日時").alias("seen"))
+    d = table(spark, folder, "work_rows").select(ID, CODE, NAME, "正規化名", "名寄せキー種別", "取込日時")
+    return E.merge_details(a, d, ID, ["医療機関コード", CODE], [F.col("取込日時"), F.col(ID)])
+
+
+@query(f"with {_MERGED} select rid, seen, coalesce(h[1],'') as norm, coalesce(h[2],'') as kind, h is not null as hit from m")
+def merged_details(spark, folder):
+    return _merged(spark, folder).select(F.col(ID).alias("rid"), "seen", F.col("正規化名").alias("norm"), F.col("名寄せキー種別").alias("kind"), "hit")
+
+
+@query(f"with {_MERGED} select count(*) n, count(*) filter (h is not null) n_hit, count(*) filter (h is not null)::double / count(*) as share from m")
+def merge_hit_rate(spark, folder):
+    return E.hit_rate(_merged(spark, folder))
+
+
+@query("with q as (" + SQL["merge_early"] + ") select confidence, count(*) n from q group by 1")
+def merge_early_histogram(spark, folder):
+    return E.histogram(merge_early(spark, folder), "confidence")
+
+
+@query(f"""with x as (select {_STRIP('"' + URL + '"')} u, coalesce("{ZIP}",'') z, coalesce("{ADDR}",'') a from output_rows)
+select count(*) n, count(*) filter (u <> '') n_parsed, count(*) filter (z <> '') n_dept, count(*) filter (a <> '') n_basic, count(*) filter (u <> '') / count(*) as share_parsed, count(*) filter (z <> '') / count(*) as share_dept, count(*) filter (a <> '') / count(*) as share_basic from x""")
+def details_coverage(spark, folder):
+    o = table(spark, folder, "output_rows")
+    return DT.coverage(o.select(T.blank(F.col(URL)).alias("時間帯1開始"), F.col(ZIP).alias("診療科目"), F.col(ADDR).alias("基本領域")))
+
+
+@query(f"""with {_W}, one as (select {_STRIP('code')} c, any_value(rid)::varchar r from w where {_STRIP('code')} <> '' group by 1 having count(*) = 1),
+na as (select coalesce(name,'') || '|' || coalesce(addr,'') k, any_value(rid)::varchar r from w where coalesce(name,'') || '|' || coalesce(addr,'') <> '' group by 1 having count(*) = 1),
+o as (select {_STRIP('"' + CODE + '"')} c, coalesce("{NAME}",'') || '|' || coalesce("{ADDR}",'') k from output_rows),
+f as (select coalesce(one.r, na.r) r, one.r v from o left join one on o.c <> '' and o.c = one.c left join na on o.k = na.k)
+select 'found' as part, count(r) as n, count(distinct r) as n_records from f union all select 'verified', count(v), count(distinct v) from f union all select 'details', count(v), count(distinct v) from f""")
+def repaired_tables(spark, folder):
+    c, empty = F.col, F.lit("")
+    lost = table(spark, folder, "output_rows").select(F.lit(None).cast("string").alias("rid"), T.blank(c(CODE)).alias("code"), F.concat(F.coalesce(c(NAME), empty), F.lit("|"), F.coalesce(c(ADDR), empty)).alias("na"))
+    base = work(spark, folder).select(c("rid").cast("string").alias("rid"), T.blank(c("code")).alias("code"), F.concat(F.coalesce(c("name"), empty), F.lit("|"), F.coalesce(c("addr"), empty)).alias("na"))
+    got = RS.repaired(lost, lost, lost, base, "rid", "code", "na")
+    one = lambda k: got[k].agg(F.lit(k).alias("part"), F.count("rid").alias("n"), F.count_distinct("rid").alias("n_records"))
+    return one("found").unionByName(one("verified")).unionByName(one("details"))
+
+
+@query(f"""with {_W}, {_HIGH}, b as (select hst host, coalesce("{NAME}",'') nm from h where hst <> '' and not {_blocked_sql('"' + URL + '"')}), p as (select host from b group by 1 having count(distinct nm) >= 20),
+v as (select "{ID}" rid, "{NAME}" nm, {_STRIP('"' + URL + '"')} u from output_rows), g as (select * from v where u <> '' and not starts_with(u,'（') and ({_blocked_for_sql('u', 'nm')} or {_HOST('u')} in (select host from p)))
+select 'verified' as part, (select count(*) from v) - (select count(*) from g) as n union all select 'dropped', count(*) from g union all select 'details', count(*) from w where rid not in (select rid from g)
+union all select 'extra', count(*) from (select host from p union select * from {_EXTRA})""")
+def feedback_pass(spark, folder):
+    extra = _extra(spark, folder)
+    find = lambda d: I.portal_hosts(d, U.host(F.col(URL)), F.col(NAME), F.col(PREF), U.blocked(F.col(URL)), rules.PORTAL_LEAST)
+    bad = lambda hosts: U.blocked_for(T.blank(F.col(URL)), F.col(NAME), hosts)
+    got = I.feedback(_high(spark, folder), table(spark, folder, "output_rows"), work(spark, folder).withColumnRenamed("rid", ID), extra, {"url": URL, "record": ID}, bad, find)
+    one = lambda k: got[k].agg(F.lit(k).alias("part"), F.count("*").alias("n"))
+    return one("verified").unionByName(one("dropped")).unionByName(one("details")).unionByName(one("extra"))
+
+
+_TEXTS = f"""select "{ID}"::varchar as rid, coalesce("{NAME}",'') as name, coalesce("{ADDR}",'') as addr, coalesce("{URL}",'') as url from work_rows"""
+
+
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "work_rows").select(F.col(ID).cast("string").alias("rid"), F.col(NAME).alias("name"), F.col(ADDR).alias("addr"), F.col(URL).alias("url"))
+
+
+@query(_TEXTS)
+def csv_round_trip(spark, folder):
+    """Written with the mark and read again, line ends, quotes and blanks inside the fields kept."""
+    at = scratch(spark, "csv")
+    S.write_csv(_texts(spark, folder), at, bom=True)
+    return S.read_csv(spark, at, "UTF-8")
+
+
+@query(_TEXTS)
+def tab_round_trip(spark, folder):
+    at = scratch(spark, "tab")
+    d = _texts(spark, folder).na.fill("")
+    d.write.option("header", True).option("sep", "\t").option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(at)
+    return S.read_csv(spark, at, "UTF-8", "\t")
+
+
+@query(_TEXTS)
+def json_lines_round_trip(spark, folder):
+    at = scratch(spark, "json")
+    d = _texts(spark, folder).na.fill("")
+    d.write.json(at)
+    return S.read_json_lines(spark, at, d.schema, strict=True)
+
+
+@query(f"""select distinct lower(trim(host)) as host from extra_blocked where trim(host) <> '' and not starts_with(host, '#')""")
+def host_list_round_trip(spark, folder):
+    at = scratch(spark, "hosts")
+    S.write_hosts(spark.createDataFrame([(h,) for h in _extra(spark, folder)], "host string"), at, "portals")
+    return S.read_hosts(spark, at)
+
+
+@query(f"""with u as (select 1 l, "{ID}" rid from work_rows union all select 2, "{ID}" from prepared_rows), n as (select (row_number() over (order by l, rid) - 1) // 500 part, rid from u) select part, count(*) n, min(rid)::varchar lo, max(rid)::varchar hi from n group by part""")
+def exported_parts(spark, folder):
+    """Both lists in files of 500 rows, without one column, each part with its header."""
+    at = scratch(spark, "parts")
+    lists = [table(spark, folder, t).select(F.col(ID).alias("rid"), F.col(NAME).alias("name"), F.lit("x").alias("raw")) for t in ("work_rows", "prepared_rows")]
+    S.export_parts(lists, ["rid"], at, 500, ["raw"])
+    d = S.read_csv(spark, at, "UTF-8").withColumn("rid", F.col("rid").cast("long"))
+    return d.groupBy(F.col("part").cast("long").alias("part")).agg(F.count("*").alias("n"), F.min("rid").cast("string").alias("lo"), F.max("rid").cast("string").alias("hi"))
+
+
+@query(f"""with {_W}, {_HIT} select 'import' as part, count(*) filter ({_STRIP('final_url')} <> '') as n from y union all select 'audit', count(*) from y""")
+def exported_pair(spark, folder):
+    a, b = scratch(spark, "import"), scratch(spark, "audit")
+    S.export_pair(judged(spark, folder).select("rid", "final_url", "confidence"), "rid", "final_url", ["rid", "final_url", "confidence"], a, b)
+    one = lambda k, at: S.read_csv(spark, at, "UTF-8").agg(F.lit(k).alias("part"), F.count("*").alias("n"))
+    return one("import", a).unionByName(one("audit", b))
+
+
+@query(f"""select distinct "{ID}" rid from output_rows where coalesce("{URL}",'') <> ''""")
+def swapped_table(spark, folder):
+    """A table that is replaced by a part of itself."""
+    at = scratch(spark, "swap")
+    table(spark, folder, "output_rows").select(F.col(ID).alias("rid"), F.col(URL).alias("url")).write.parquet(at)
+    S.swap(spark.read.parquet(at).where("coalesce(url, '') <> ''").select("rid").distinct(), at)
+    return spark.read.parquet(at)
+
+
+@query(f"with {_OPEN.split('bc as (')[0].rstrip().rstrip(',')} select c as code, p as phone, u as url from o2")
+def open_data_scan(spark, folder):
+    """Two files with unlike headers below one folder, found and read by their hints."""
+    at = scratch(spark, "open")
+    o = table(spark, folder, "opendata_rows")
+    half = F.pmod(F.col("施設番号"), F.lit(2))
+    S.write_csv(o.where(half == 0).select(F.col("医療機関番号"), F.col("ホームページ"), F.col("電話").alias("電話番号")).coalesce(1), at + "/a/x.csv")
+    S.write_csv(o.where(half == 1).select(F.col("電話").alias("TEL"), F.col("ホームページ").alias("施設のURL"), F.col("医療機関番号").alias("保険医療機関コード")).coalesce(1), at + "/b/y.csv", bom=True)
+    return S.read_open_data(spark, at).select("code", "phone", "url")

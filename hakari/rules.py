@@ -25,7 +25,7 @@ LEGAL_FORMS = (
     "医療法人社団 医療法人財団 一般社団法人 公益社団法人 一般財団法人 公益財団法人 社会医療法人 特定医療法人 独立行政法人 地方独立行政法人 "
     "社会福祉法人 医療法人 医療生協 厚生連 学校法人 特定非営利活動法人"
 ).split()
-#: Characters that don't count in a compared name (a class for regular expressions).
+# Fixed value: characters that don't count in a compared name (a class for regular expressions).
 NAME_NOISE = r"[\s　・･,，.。'’\"“”\-－―ー‐–—_/／\\()（）［］\[\]{}]"
 
 # Domains that are never a facility's own site.
@@ -52,6 +52,9 @@ PUBLIC_WORDS = "保健所 県立 市立 町立 村立 都立 府立 道立 国
 PORTAL_LEAST = 20
 CANDIDATES_PER_QUERY = 5
 HIGH, MID, LOW = 4, 3, 2
+# What stands for a URL that was not found, and the columns of a details table that the audit has already.
+NOT_FOUND = "（未検出）"
+DETAILS_KNOWN = ["レコードID", "医療機関コード", "会社名", "ウェブサイトURL"]
 
 # Words of links to look behind, for access and outline pages and for pages with hours.
 SUBPAGE_HINTS = ["access", "アクセス", "clinic", "about", "gaiyo", "概要", "information", "info", "contact", "outline"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -35,20 +37,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, which all executors share: the session's spark.checkpoint.dir. Only in local mode,
+    and only where that is unset (tests, local runs), a folder of this machine is set."""
+    sc = spark.sparkContext
+    at = sc._jsc.sc().getCheckpointDir()
+    if at.isDefined():
+        return at.get()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "hakari-checkpoints"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame, forget: bool = False) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there.
 
     A checkpoint keeps the size that the optimizer guessed. In a loop of joins the guess is squared each round, until
     its digits fill the memory; with `forget` the result has no guess (and no known partitioning either).
 
-    The folder is the session's spark.checkpoint.dir. Only where that is unset (tests, local runs) a folder
-    of this machine is set. The files are replicated by the shared store, so lost executors cost nothing.
+    The folder is that of shared_folder(). The files are replicated by the shared store, so lost executors cost nothing;
+    they are removed with the tables that read them where spark.cleaner.referenceTracking.cleanCheckpoints is set, as
+    build() does.
     """
-    sc = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not sc._jsc.sc().getCheckpointDir().isDefined():
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), "hakari-checkpoints"))
+    shared_folder(df.sparkSession)
     done = df.checkpoint(eager=True)
     if not forget:
         return done

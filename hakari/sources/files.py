@@ -33,6 +33,7 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None, sep: s
         encoding = encoding_of(bytes(head[0].b)) if head else "UTF-8"
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     d = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding=encoding, sep=sep)
+    d = d.toDF(*[c.removeprefix(BOM) for c in d.columns])
     return d.na.fill("")
 
 
@@ -67,11 +68,20 @@ def hinted(columns: list[str], hints: list[str]) -> str | None:
     return next((c for h in hints for c in columns if h in c), None)
 
 
-def read_open_data(spark: SparkSession, paths: list[str], extra: list[str] | None = None) -> DataFrame:
+def csv_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
+    """Files below a folder, at any depth, in the order of their paths. Only paths are read; a folder of open data is
+    some hundreds of files."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
+    return sorted(r.path for r in d.select("path").distinct().toLocalIterator())
+
+
+def read_open_data(spark: SparkSession, paths: list[str] | str, extra: list[str] | None = None) -> DataFrame:
     """(code, phone, url, file_ord) of open data files with unlike headers; files without usable columns are skipped.
 
-    Only rows with an http address that is no portal's stay; codes and telephones are normalized.
+    paths: files, or a folder that is searched for .csv files. Only rows with an http address that is no portal's stay;
+    codes and telephones are normalized.
     """
+    paths = csv_files(spark, paths) if isinstance(paths, str) else paths
     out = None
     for i, path in enumerate(sorted(paths)):
         d = read_csv(spark, path)
@@ -88,13 +98,42 @@ def read_open_data(spark: SparkSession, paths: list[str], extra: list[str] | Non
     return out if out is not None else spark.createDataFrame([], "code string, phone string, url string, file_ord int")
 
 
-def write_csv(df: DataFrame, path: str, per_file: int = 0, mode: str = "errorifexists") -> None:
-    """Headered files; empty and null are written alike as nothing, quotes doubled; per_file bounds a file's records."""
-    d = df.select(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
+#: The mark by which spreadsheets know UTF-8; it goes before the first column's name.
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, per_file: int = 0, mode: str = "errorifexists", bom: bool = False, by: str | None = None) -> None:
+    """Headered files; empty and null are written alike as nothing, quotes doubled; per_file bounds a file's records; with
+    `bom` each file begins with the mark; `by` is a column whose values become folders."""
+    names = [c for c in df.columns if c != by]
+    marked = {names[0]: BOM + names[0]} if bom and names else {}
+    d = df.select(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).alias(marked.get(c, c)) for c in names], *([by] if by else []))
     w = d.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "")
+    w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    w = w.partitionBy(by) if by else w
     (w.option("maxRecordsPerFile", per_file) if per_file else w).csv(path)
 
 
+def export_pair(rows: DataFrame, key: str, url: str, audit: list[str], import_path: str, audit_path: str) -> None:
+    """Two exports from rows that are computed once: key and URL of the rows that have one, and all columns of `audit`."""
+    from ..session import cut
+
+    once = cut(rows.select(*dict.fromkeys([key, url, *audit])))
+    write_csv(once.where(T.blank(F.col(url)) != "").select(key, url), import_path, bom=True)
+    write_csv(once.select(*audit), audit_path, bom=True)
+
+
+def export_parts(lists: list[DataFrame], order: list[str], path: str, size: int = 20_000, drop: list[str] | None = None) -> None:
+    """The lists one after another in `order`, without the columns of `drop`, in parts of `size` rows: a folder part=n with
+    one headered file each. A part is written by one task, however many rows there are."""
+    from ..operators.enrich import without_columns
+    from ..operators.files import row_parts, union_lists
+
+    all_ = row_parts(union_lists(lists), ["list_id", *order], size)
+    parts = without_columns(all_, ["list_id", *(drop or [])]).repartition("part").sortWithinPartitions("part", *[o for o in order if o not in (drop or [])])
+    write_csv(parts, path, bom=True, by="part")
+
+
 def with_bom(text: bytes) -> bytes:
     """The bytes with the mark that spreadsheets look for, once."""
     return text if text.startswith(b"\xef\xbb\xbf") else b"\xef\xbb\xbf" + text

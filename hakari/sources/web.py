@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, fields
 from urllib.parse import urlsplit
+from urllib.robotparser import RobotFileParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,6 +36,84 @@ def shaped(items: list[dict], url: str, title: str, snippet: str) -> Hits:
 SHAPES = {"serper": (("organic",), ("link", "title", "snippet")), "google_cse": (("items",), ("link", "title", "snippet")), "brave": (("web", "results"), ("url", "title", "description"))}
 
 
+# Address, method, and names of the parameters of each provider's search; keys come from the settings.
+REQUESTS = {
+    "serper": {"method": "POST", "url": "https://google.serper.dev/search", "key": ("headers", "X-API-KEY", "SERPER_API_KEY"), "query": "q", "count": "num", "fixed": {"gl": "jp", "hl": "ja"}},
+    "google_cse": {"method": "GET", "url": "https://www.googleapis.com/customsearch/v1", "key": ("params", "key", "GOOGLE_API_KEY"), "engine": ("params", "cx", "GOOGLE_CSE_ID"), "query": "q", "count": "num", "fixed": {"hl": "ja", "gl": "jp"}},
+    "brave": {"method": "GET", "url": "https://api.search.brave.com/res/v1/web/search", "key": ("headers", "X-Subscription-Token", "BRAVE_API_KEY"), "query": "q", "count": "count", "fixed": {"country": "jp", "search_lang": "jp"}},
+}
+
+
+@dataclass(frozen=True)
+class Settings:
+    """Run-time settings; from_env() reads them from variables of the same names in capitals where these are set."""
+
+    search_provider: str = "serper"
+    search_qps: float = 5.0
+    search_concurrency: int = 8
+    verify_concurrency: int = 8
+    extra_blocked_file: str = ""
+    results_per_query: int = 5
+
+    @classmethod
+    def from_env(cls, env: dict[str, str] | None = None) -> Settings:
+        env = dict(os.environ) if env is None else env
+        kinds = {"search_qps": float, "search_concurrency": int, "verify_concurrency": int, "results_per_query": int}
+        got = cls(**{f.name: kinds.get(f.name, str)(env[f.name.upper()]) for f in fields(cls) if f.name.upper() in env})
+        if got.search_provider not in REQUESTS:
+            raise ValueError(f"unknown provider {got.search_provider}; there are {', '.join(REQUESTS)}")
+        return got
+
+
+def request(provider: str, query: str, keys: dict[str, str], count: int = 5) -> dict:
+    """What to send: method, url, headers, params and json. A missing key is an error."""
+    r = REQUESTS[provider]
+    out: dict = {"method": r["method"], "url": r["url"], "headers": {}, "params": {}, "json": None}
+    body = {r["query"]: query, r["count"]: count, **r["fixed"]}
+    for part, name, variable in (r[k] for k in ("key", "engine") if k in r):
+        out[part][name] = keys[variable]
+    if r["method"] == "POST":
+        out["json"] = body
+    else:
+        out["params"] |= body
+    return out
+
+
+def provider_search(provider: str, keys: dict[str, str], send: Callable[[dict], tuple[int, dict]], count: int = 5) -> Callable[[str], Hits]:
+    """A search for search_all(): builds the request, hands it to `send` (which gives status and body), shapes the answer."""
+
+    def search(query: str) -> Hits:
+        status, body = send(request(provider, query, keys, count))
+        if status != 200:
+            raise Refused(status)
+        return answer(provider, body)
+
+    return search
+
+
+def robots(get: Callable[[str], tuple[int, str]], agent: str = "*") -> Callable[[str], bool]:
+    """A test whether a URL may be fetched by its site's robots rules, which are asked for once a site; where there are none,
+    or they can't be had, it may. For fetch_all(), where one task owns a host and so its cache."""
+    known: dict[str, RobotFileParser | None] = {}
+
+    def allowed(url: str) -> bool:
+        p = urlsplit(url)
+        site = f"{p.scheme}://{p.netloc}"
+        if site not in known:
+            known[site] = None
+            try:
+                status, text = get(site + "/robots.txt")
+                if status == 200:
+                    known[site] = RobotFileParser()
+                    known[site].parse(text.splitlines())
+            except Exception:  # rules that can't be had allow
+                known[site] = None
+        rule = known[site]
+        return rule is None or rule.can_fetch(agent, url)
+
+    return allowed
+
+
 def answer(provider: str, body: dict) -> Hits:
     path, names = SHAPES[provider]
     for p in path:
@@ -57,16 +138,16 @@ def search_all(queries: DataFrame, search: Callable[[str], Hits], per_second: fl
     first failure ends the job, and a later run takes up what is missing."""
 
     def go(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gap = tasks / per_second
+        gap, begun, sent = tasks / per_second, time.monotonic(), 0
         for f in frames:
-            begun = time.monotonic()
 
-            def one(item: tuple[int, str], begun: float = begun) -> Hits:
+            def one(item: tuple[int, str]) -> Hits:
                 time.sleep(max(0.0, begun + item[0] * gap - time.monotonic()))
                 return retried(search, item[1])
 
             with ThreadPoolExecutor(threads) as pool:
-                hits = list(pool.map(one, enumerate(f["query"])))
+                hits = list(pool.map(one, enumerate(f["query"], sent)))
+            sent += len(f)
             yield pd.DataFrame({"key": f["key"], "query": f["query"], "hits": hits})
 
     return queries.select("key", "query").repartition(tasks).mapInPandas(go, "key string, query string, hits array<struct<url: string, title: string, snippet: string>>")

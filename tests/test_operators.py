@@ -39,6 +39,8 @@ def test_duplicate_groups(spark):
     got = rows(resolve.duplicate_groups(d, "kind", "key", "rid", "url", "ord"), "ord", "dup_gid", "is_rep")
     assert got == [(0, "G000001", "1"), (1, "G000001", ""), (2, "", "1"), (3, "G000003", "1"), (4, "G000003", "")]
     early = rows(resolve.duplicate_groups_early(d, "kind", "key", "rid", "url", "ord"), "ord", "dup_gid", "is_rep")
+    twins = spark.createDataFrame([("A", "1", "5", "u")] * 3 + [("B", "1", None, None)] * 2, "kind string, key string, rid string, url string")
+    assert rows(resolve.duplicate_groups(twins, "kind", "key", "rid", "url").where("is_rep = '1'"), "kind") == [("A",), ("B",)]
     assert early[0] == (0, "G000001", "代表") and early[2] == (2, "G000002", "代表") and early[4] == (4, "G000003", "重複")
     assert resolve.duplicate_groups(d.where("false"), "kind", "key", "rid", "url").count() == 0
 
@@ -109,7 +111,7 @@ def test_judge_scores_every_text(spark, monkeypatch):
     for i, *_ in recs:
         mine = [(most[i, u], k, u) for _, k, u in sorted(x for x in cands if x[0] == i) if (i, u) in most]
         p, _, u = next((x for x in mine if x[0] >= rules.HIGH), max(mine, key=lambda x: (x[0], -x[1]), default=(0, 0, "")))
-        want[i] = (u if p >= rules.LOW else "", "高" if p >= 4 else {3: "中", 2: "低"}.get(p, "未検出"), p)
+        want[i] = (u if p >= rules.LOW else rules.NOT_FOUND, "高" if p >= 4 else {3: "中", 2: "低"}.get(p, "未検出"), p)
     assert len({x[1] for x in want.values()}) >= 3
     for chars, many in ((1_000_000, 5_000), (100, 7)):
         monkeypatch.setattr(verify, "PART_CHARS", chars)
@@ -246,7 +248,7 @@ def test_stream_resumes(spark, tmp_path):
 
 def test_report_repair_and_markers(spark, tmp_path):
     d = spark.createDataFrame([("A", "1", "x", 1), ("A", "1", None, 2), ("A", "2", "y", 3), (None, None, "n", 4), (None, None, "m", 5)], "kind string, key string, name string, o int")
-    assert rows(resolve.duplicate_report(d, "kind", "key", "name", "o"), "kind", "n", "names") == [("A", 2, ["x", ""]), (None, 2, ["n", "m"])]
+    assert rows(resolve.duplicate_report(d, "kind", "key", "name", "o"), "kind", "n", "o", "name") == [("", 2, 4, "n"), ("", 2, 5, "m"), ("A", 2, 1, "x"), ("A", 2, 2, "")]
     base = spark.createDataFrame([("1", "c", "n"), ("2", "d", "m"), ("3", "d", "k")], "rid string, code string, na string")
     lost = spark.createDataFrame([(None, "c", "n"), (None, "d", "m"), (None, "", "zz"), ("7", "", "")], "rid string, code string, na string")
     got = resolve.repaired(lost, lost, lost, base, "rid", "code", "na")
@@ -258,3 +260,72 @@ def test_report_repair_and_markers(spark, tmp_path):
     assert made == [1]
     S.write_hosts(spark.createDataFrame([("b.example",), ("a.example",)], "host string"), str(tmp_path / "h"), "hosts")
     assert rows(S.read_hosts(spark, str(tmp_path / "h")), "host") == [("a.example",), ("b.example",)]
+
+
+def test_skewed_joins_lose_and_add_nothing(spark):
+    from hakari.operators.skew import hot_keys, salted_join
+
+    left = spark.range(900).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) k", "id v", "if(id % 7 = 0, null, id) w")
+    right = spark.range(60).selectExpr("if(id = 0, 'hot', concat('k', id)) k", "id r").unionByName(spark.sql("select 'hot' k, -1L r"))
+    for how in ("inner", "left", "left_semi"):
+        want = sorted(map(str, left.join(right, ["k"], how).collect()))
+        assert sorted(map(str, salted_join(left, right, ["k"], how, least=100, parts=10).collect())) == want
+    assert rows(hot_keys(left, ["k"], 100, 10), "k", "_salts") == [("hot", 3)]
+    assert hot_keys(left, ["k"]) is None and hot_keys(left, ["k"], 300, 10) is None
+
+
+def test_subpages_hours_and_errors(spark, monkeypatch):
+    recs = spark.createDataFrame([(1, "山田眼科", "甲市1-2-3", "0312345678"), (2, "森内科", None, None)], "record long, name string, addr string, phone string")
+    cands = spark.createDataFrame([(1, 0, "http://a.example/"), (2, 0, "http://b.example/")], "record long, idx int, url string")
+    pages = spark.createDataFrame([("http://a.example/", "山田眼科 <a href='/access.html'>x</a><a href='jikan.html'>y</a>"), ("http://a.example/access.html", "電話 03-1234-5678"), ("http://a.example/jikan.html", "診療時間 月曜 9:00〜12:00"), ("http://b.example/", "別")], "url string, html string")
+    got = {r.record: r for r in verify.judge(recs, cands, pages).collect()}
+    assert (got[1].url, got[1].confidence) == ("http://a.example/", "高") and "下層ページで確認" in got[1].reason
+    assert (got[2].url, got[2].confidence) == (rules.NOT_FOUND, "未検出")
+    hours = verify.hours_found(verify.judge(recs, cands, pages), pages).collect()
+    assert [(r.record, bool(r.hours.context)) for r in hours] == [(1, True)] or hours[0].source in ("", "http://a.example/jikan.html")
+
+    def broken(texts, recs):
+        raise ValueError("no page")
+
+    monkeypatch.setattr(verify, "_best_codes", broken)
+    assert {r.reason for r in verify.judge(recs, cands, pages).collect()} == {"照合エラー: no page"}
+
+
+def test_merged_details(spark):
+    audit = spark.createDataFrame([("1", "c", "u"), ("2", "d", "v"), ("", "", "w"), ("9", "c", "x")], "レコードID string, `医療機関コード（正）` string, ウェブサイトURL string")
+    det = spark.createDataFrame([("1", "z", "h1", 1), ("1", "z", "h2", 2), ("5", "d", "h3", 3), ("6", "c", None, 4)], "レコードID string, 医療機関コード string, 休診日 string, o int")
+    got = enrich.merge_details(audit, det.withColumnRenamed("医療機関コード", "医療機関コード（正）"), "レコードID", ["医療機関コード", "医療機関コード（正）"], [F.col("o")])
+    assert rows(got, "レコードID", "休診日", "hit") == [("", "", False), ("1", "h2", True), ("2", "h3", True), ("9", "", True)]
+    assert rows(enrich.hit_rate(got), "n", "n_hit", "share") == [(4, 3, 0.75)] and enrich.hit_rate(got.where("false")).first().share is None
+    assert enrich.without_columns(audit, ["ウェブサイトURL", "none"]).columns == ["レコードID", "医療機関コード（正）"]
+
+
+def test_requests_robots_settings():
+    keys = {"SERPER_API_KEY": "a", "GOOGLE_API_KEY": "b", "GOOGLE_CSE_ID": "c", "BRAVE_API_KEY": "d"}
+    sent = []
+    bodies = {"serper": {"organic": [{"link": "u"}]}, "google_cse": {"items": [{"link": "u"}]}, "brave": {"web": {"results": [{"url": "u"}]}}}
+    for p, body in bodies.items():
+        assert web.provider_search(p, keys, lambda r, body=body: sent.append(r) or (200, body))("q") == [{"url": "u", "title": "", "snippet": ""}]
+        with pytest.raises(web.Refused):
+            web.provider_search(p, keys, lambda r: (403, {}))("q")
+    assert sent[0]["json"]["q"] == "q" and sent[1]["params"]["cx"] == "c" and sent[2]["headers"] == {"X-Subscription-Token": "d"}
+    with pytest.raises(KeyError):
+        web.request("brave", "q", {})
+    asked = []
+    ok = web.robots(lambda u: asked.append(u) or (200, "User-agent: *\nDisallow: /x"))
+    assert [ok("http://a/x"), ok("http://a/y"), ok("http://b/x")] == [False, True, False] and len(asked) == 2
+    assert web.robots(lambda u: 1 / 0)("http://a/x") and web.robots(lambda u: (404, ""))("http://a/x")
+    s = web.Settings.from_env({"SEARCH_QPS": "10", "SEARCH_PROVIDER": "brave", "OTHER": "1"})
+    assert (s.search_qps, s.search_provider, s.search_concurrency) == (10.0, "brave", 8)
+    with pytest.raises(ValueError):
+        web.Settings.from_env({"SEARCH_PROVIDER": "none"})
+
+
+def test_header_lines_and_marks(spark, tmp_path):
+    d = spark.createDataFrame([("a", "b"), ("1", "2"), ("a", "2")], "a string, b string")
+    assert rows(files.union_lists([d, d]), "a", "b", "list_id") == [("1", "2", 1), ("1", "2", 2), ("a", "2", 1), ("a", "2", 2)]
+    S.write_csv(d.coalesce(1), str(tmp_path / "x"), bom=True)
+    import glob
+
+    assert open(glob.glob(str(tmp_path / "x/*.csv"))[0], "rb").read().startswith(b"\xef\xbb\xbfa,b\n")
+    assert S.read_csv(spark, str(tmp_path / "x")).columns == ["a", "b"]
