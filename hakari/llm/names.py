@@ -10,7 +10,8 @@ from .skeleton import skeleton
 
 # Legal forms and the ways they are shortened.
 LEGAL = "地方独立行政法人 独立行政法人 特定非営利活動法人 医療法人社団 医療法人財団 一般社団法人 公益社団法人 一般財団法人 公益財団法人 社会医療法人 特定医療法人 社会福祉法人 宗教法人 医療法人 学校法人 医療生協 厚生連 (医社) (医財) (社福) (医) 【医】 (一社) (社医) 医社) 医)".split()
-# Kinds of house, with usual slips and abbreviations, and what is put after a person's name.
+# Kinds of house, each with its kana, abbreviations and the homophones and look-alikes that are typed for it, and
+# what is put after a person's name.
 KINDS = "クリニック くりにっく clinic 診療所 診寮所 診療書 しんりょうじょ 病院 病員 びょういん 医院 委員 いいん 医療センター hospital cl. hp".split()
 PERSON = "せんせい 先生 さんち さん dr. dr 院長".split()
 # Departments and their short forms, each family on a line.
@@ -95,24 +96,3 @@ def parts(name: str) -> tuple[str, str, tuple[str, ...]]:
     rest = "".join(c for c in rest if c.isalnum() and c not in "科ヶヵケ")
     rest = "".join(chr(ord(c) + 96) if "ぁ" <= c <= "ゖ" else c for c in rest)
     return core, sounded(rest), tuple(sorted(set(found)))
-
-
-def common(a: str, b: str) -> int:
-    """Characters in the common runs of two or more, taken longest first, wherever they stand."""
-    total = 0
-    while True:
-        best, at, to = 1, 0, 0
-        row = [0] * (len(b) + 1)
-        for i, c in enumerate(a):
-            last = 0
-            for j, d in enumerate(b):
-                now = row[j + 1]
-                row[j + 1] = last + 1 if c == d and c != "\0" else 0
-                if row[j + 1] > best:
-                    best, at, to = row[j + 1], i + 1, j + 1
-                last = now
-        if best < 2:
-            return total
-        total += best
-        a = a[: at - best] + "\0" + a[at:]
-        b = b[: to - best] + "\1" + b[to:]
