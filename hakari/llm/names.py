@@ -56,6 +56,10 @@ _WORDS = re.compile("|".join(map(re.escape, sorted(_FAMILY, key=len, reverse=Tru
 _KIND = re.compile("|".join([*map(re.escape, KINDS), "ク[リッニツイク]{1,5}ク", r"\bcl\b", "(?<=科)医$|(?<=科)病$|(?<=科)診(?:療)?$"]))
 _LEGAL = re.compile("(?:" + "|".join(map(re.escape, LEGAL)) + r")\s*(?:[^\s]{2}会(?=[^\s科]|\s))?")
 
+# Katakana and the ideographs that the skeleton takes for them; a lone one is the ideograph.
+_IDEOGRAPH = dict(zip("ロハニカトタエオチ", "口八二力卜夕工才千"))
+_LONE = re.compile("(?<![ァ-ヶー])[" + "".join(_IDEOGRAPH) + "](?![ァ-ヶー])")
+
 
 def sounded(s: str) -> str:
     """A rough sound: kana by rule, family-name characters by their usual reading, voiced as unvoiced, no long vowels.
@@ -81,6 +85,7 @@ def sounded(s: str) -> str:
 def parts(name: str) -> tuple[str, str, tuple[str, ...]]:
     """(core, proper part as it sounds, departments) of a name."""
     s = unicodedata.normalize("NFKC", skeleton(name) or "").lower()
+    s = _LONE.sub(lambda m: _IDEOGRAPH[m[0]], s)
     s = _LEGAL.sub(" ", _LEGAL.sub(" ", s)).translate(_OLD)
     core = "".join(c for c in s if c.isalnum())
     core = "".join(chr(ord(c) + 96) if "ぁ" <= c <= "ゖ" else c for c in core)

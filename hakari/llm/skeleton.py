@@ -7,10 +7,13 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..operators.skew import hot_keys, salted_join, spread_join
+from ..session import cut
+
 # Look-alike letters, each prototype followed by the characters that share its shape.
 LOOK_ALIKES = """
 A А Α Ꭺ ꓮ
@@ -64,7 +67,7 @@ y у γ ү
 z ᴢ
 ニ 二
 ハ 八
-ロ 口
+ロ 口 囗
 ト 卜
 タ 夕
 エ 工
@@ -72,10 +75,18 @@ z ᴢ
 オ 才
 ム 厶
 ヘ へ
+チ 千
+ノ 丿
+メ 乂
+ヌ 又
+ヒ 匕
 ー 一 — ― ─ ━
 ・ · • ∙ ⋅ ‧
 - ‐ ‑ ‒ – − ﹣
 / ⁄ ∕
+~ 〜 ∼ ˜
+| ∣ ǀ
+! ǃ
 ' ’ ʼ ′ ＇
 , ‚
 : ： ∶
@@ -84,11 +95,24 @@ z ᴢ
 RADICALS = "⺟母 ⺠民 ⺩王 ⻁虎 ⻄西 ⻆角 ⻑長 ⻘青 ⻝食 ⻤鬼 ⻣骨 ⻥鱼 ⻦鸟 ⻨麦 ⻩黄 ⻫斉 ⻬齐 ⻭歯 ⻮齿 ⻯竜 ⻰龙 ⻱龟 ⻲亀 ⻳龟 ⻲亀 ⻟飠"
 
 
-@lru_cache(1)
-def prototypes() -> dict[int, str]:
+def read_confusables(path: str) -> dict[int, str]:
+    """Prototypes from a file in the format of the published confusables data: lines `code point ; code points ; type`, in
+    hexadecimal, with comments after #."""
+    to = {}
+    with open(path, encoding="utf-8-sig") as f:
+        for line in f:
+            cells = line.partition("#")[0].split(";")
+            if len(cells) >= 2 and cells[0].strip():
+                to[int(cells[0], 16)] = unicodedata.normalize("NFD", "".join(chr(int(x, 16)) for x in cells[1].split()))
+    return to
+
+
+@lru_cache(4)
+def prototypes(path: str = "") -> dict[int, str]:
     """Character to prototype. The bulk follows from the character data: width, font and no-break variants and
-    radicals by their decomposition, blanks to one blank, invisible characters to nothing."""
-    to: dict[int, str] = {}
+    radicals by their decomposition, blanks to one blank, invisible characters to nothing. path: a file with the whole
+    published table (read_confusables()), which comes first where these rules say nothing."""
+    to: dict[int, str] = read_confusables(path) if path else {}
     for i in range(sys.maxunicode + 1):
         c, kind = chr(i), unicodedata.category(chr(i))
         tag = unicodedata.decomposition(c)
@@ -108,20 +132,25 @@ def prototypes() -> dict[int, str]:
     return to
 
 
-def skeleton(text: str | None) -> str | None:
+def skeleton(text: str | None, path: str = "") -> str | None:
     """Decompose, replace each character by its prototype, decompose again. Null stays null."""
     if text is None:
         return None
-    once = unicodedata.normalize("NFD", text).translate(prototypes())
-    return unicodedata.normalize("NFD", once.translate(prototypes()))
+    once = unicodedata.normalize("NFD", text).translate(prototypes(path))
+    return unicodedata.normalize("NFD", once.translate(prototypes(path)))
+
+
+def skeleton_of(c: Column, path: str = "") -> Column:
+    """The skeleton of a text column; path: a file of the published table that every executor can read, see prototypes()."""
 
+    @F.pandas_udf(StringType())
+    def of(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: skeleton(t, path), na_action="ignore")
 
-@F.pandas_udf(StringType())
-def skeleton_of(s: pd.Series) -> pd.Series:
-    return s.map(skeleton, na_action="ignore")
+    return of(c)
 
 
-def same_look(rows: DataFrame, record: str, fields: list[str]) -> DataFrame:
+def same_look(rows: DataFrame, record: str, fields: list[str], path: str = "") -> DataFrame:
     """(field, skeleton, value, record): each distinct value of a record, with its skeleton.
 
     The skeleton is computed once per distinct value, not once per row. Null is no value and has no row; an empty
@@ -131,22 +160,23 @@ def same_look(rows: DataFrame, record: str, fields: list[str]) -> DataFrame:
     for f in fields:
         part = rows.select(F.lit(f).alias("field"), F.col(record).alias("record"), F.col(f).alias("value"))
         one = part if one is None else one.unionByName(part)
-    one = one.where("value is not null and record is not null").distinct()
-    values = one.groupBy("value").agg(F.count("*").alias("_n")).select("value", skeleton_of("value").alias("skeleton"))
-    return one.join(values, "value").select("field", "skeleton", "value", "record")
+    one = cut(one.where("value is not null and record is not null").distinct())
+    values = one.groupBy("value").agg(F.count("*").alias("_n")).select("value", skeleton_of(F.col("value"), path).alias("skeleton"))
+    return salted_join(one, values, ["value"]).select("field", "skeleton", "value", "record")
 
 
-def look_alike_pairs(rows: DataFrame, record: str, fields: list[str], per_task: int = 4000) -> DataFrame:
+def look_alike_pairs(rows: DataFrame, record: str, fields: list[str], per_task: int = 4000, path: str = "") -> DataFrame:
     """(field, record_id_a, record_id_b), a < b: records whose values of a field look the same but differ.
 
-    Only skeletons with two or more different values enter the join; one value's records never meet each other. A
-    skeleton with many records is spread over as many tasks as it has thousands, the others are not copied; the
-    result itself has its pairs by definition.
+    Only skeletons with two or more different values enter the join. Skeletons are compared by 128 bits of hash. One with many
+    records is spread over several tasks, the others are not copied; the result itself has its pairs by definition.
+    same_look() has the classes with their members.
     """
-    m = same_look(rows, record, fields).select("field", F.xxhash64("skeleton").alias("s"), F.xxhash64("value").alias("v"), "record")
-    mixed = m.groupBy("field", "s").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    m = m.join(mixed.select("field", "s", F.ceil(F.col("n") / per_task).alias("salts")), ["field", "s"])
-    left = m.withColumn("salt", F.pmod(F.xxhash64("record"), F.col("salts")))
-    right = m.select("field", "s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("v").alias("v_b"), F.col("record").alias("record_id_b"))
-    pairs = left.join(right, ["field", "s", "salt"]).where("record < record_id_b and v <> v_b")
+    key = ["field", "s", "s2"]
+    m = same_look(rows, record, fields, path).select("field", F.xxhash64("skeleton").alias("s"), F.xxhash64(F.lit("2"), "skeleton").alias("s2"), F.xxhash64("value").alias("v"), "record")
+    m = cut(m)
+    mixed = m.groupBy(*key).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").select(*key)
+    m = cut(salted_join(m, mixed, key, "left_semi"))
+    other = m.select(*key, F.col("v").alias("v_b"), F.col("record").alias("record_id_b"))
+    pairs = spread_join(m, other, key, hot_keys(m, key, per_task)).where("record < record_id_b and v <> v_b")
     return pairs.select("field", F.col("record").alias("record_id_a"), "record_id_b").distinct()

@@ -95,20 +95,20 @@ def weighted(lists: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def alike(pairs: DataFrame) -> DataFrame:
-    """The pairs (columns x_… and y_…, x the lighter name) whose names are alike: soft weighted similarity over the lighter
-    side. An equal q-gram counts its weight; one with an ideograph in common in the same place counts HALF of it."""
+    """The pairs (columns x_… and y_…, x the lighter name; sure) whose names are alike: soft weighted similarity over the lighter
+    side, where an official code or group in common (sure) asks for no more than EQUAL. An equal q-gram counts its weight; one with an ideograph in common in the same place counts HALF of it."""
     parts_ = F.arrays_zip("x_g", "x_a", "x_z", "x_w")
     has = lambda k, v: F.array_contains(f"y_{k}", v)
     equal = F.aggregate(parts_, F.lit(0.0), lambda t, q: t + F.when(has("g", q["x_g"]), q["x_w"]).otherwise(0.0))
     near = F.aggregate(parts_, F.lit(0.0), lambda t, q: t + F.when(has("g", q["x_g"]), 0.0).when(((q["x_a"] > 0) & has("a", q["x_a"])) | ((q["x_z"] > 0) & has("z", q["x_z"])), q["x_w"] * HALF).otherwise(0.0))
     both, least = F.bit_count(F.col("x_depts").bitwiseAND(F.col("y_depts"))), F.least(F.bit_count("x_depts"), F.bit_count("y_depts"))
-    bound = F.when(least == 0, LIKE_BARE).when(both * 2 >= least, LIKE).otherwise(LIKE_OTHER)
+    bound = F.when(F.col("sure"), EQUAL).when(least == 0, LIKE_BARE).when(both * 2 >= least, LIKE).otherwise(LIKE_OTHER)
     p = pairs.withColumn("_e", equal / F.col("x_total")).where(F.col("_e") >= EQUAL - 1e-9).withColumn("_s", F.col("_e") + near / F.col("x_total"))
     return p.where(F.col("_s") >= bound).drop("_e", "_s")
 
 
 def similar(members: DataFrame, names: DataFrame, per_token: int = 20_000) -> DataFrame:
-    """(a, b) of members (block, pid, id) that share a context and have like names, by the names of weighted().
+    """(a, b) of members (block, sure, pid, id) that share a context and have like names, by the names of weighted().
 
     One join over the whole table: a token is a context value with a q-gram. Prefix filter: a name probes with its rarest
     q-grams, as many as make up all but the share EQUAL of its weight, and a pair is found from its lighter side, so none
@@ -117,37 +117,38 @@ def similar(members: DataFrame, names: DataFrame, per_token: int = 20_000) -> Da
     """
     several = members.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
     m = members.join(several, "block", "left_semi").join(names.select("pid", "g", "pre", "total", F.xxhash64("code").alias("c"), F.col("code").isNotNull().alias("k")), "pid")
-    m = cut(m.select("block", "pid", "id", "total", "k", "c", F.posexplode("g").alias("at", "q"), "pre").where("q is not null"))
+    m = cut(m.select("block", "sure", "pid", "id", "total", "k", "c", F.posexplode("g").alias("at", "q"), "pre").where("q is not null"))
     index = m.select(F.xxhash64("block", "q").alias("t"), F.col("block"), F.col("pid").alias("q_b"), F.col("id").alias("b"), F.col("total").alias("tb"), F.col("k").alias("kb"), F.col("c").alias("cb"))
-    probe = m.where("at < pre").select(F.xxhash64("block", "q").alias("t"), F.col("block").alias("block_a"), F.col("pid").alias("q_a"), F.col("id").alias("a"), F.col("total").alias("ta"), F.col("k").alias("ka"), F.col("c").alias("ca"))
+    probe = m.where("at < pre").select(F.xxhash64("block", "q").alias("t"), F.col("block").alias("block_a"), "sure", F.col("pid").alias("q_a"), F.col("id").alias("a"), F.col("total").alias("ta"), F.col("k").alias("ka"), F.col("c").alias("ca"))
     met = spread_join(probe, index, ["t"], hot_keys(probe, ["t"], per_token))
-    met = met.where("block = block_a and q_a <> q_b and (ta < tb or (ta = tb and q_a < q_b)) and (not ka or not kb or ca = cb)").select("q_a", "q_b", "a", "b").distinct()
+    met = met.where("block = block_a and q_a <> q_b and (ta < tb or (ta = tb and q_a < q_b)) and (not ka or not kb or ca = cb)").select("q_a", "q_b", "sure", "a", "b").distinct()
     side = lambda p, k: names.select(F.col("pid").alias(k), *[F.col(c).alias(f"{p}_{c}") for c in ("g", "a", "z", "w", "total", "depts")])
     met = cut(met)
-    good = alike(met.select("q_a", "q_b").distinct().join(side("x", "q_a"), "q_a").join(side("y", "q_b"), "q_b")).select("q_a", "q_b")
-    return met.join(good, ["q_a", "q_b"]).select("a", "b").distinct()
+    good = alike(met.select("q_a", "q_b", "sure").distinct().join(side("x", "q_a"), "q_a").join(side("y", "q_b"), "q_b")).select("q_a", "q_b", "sure")
+    return met.join(good, ["q_a", "q_b", "sure"]).select("a", "b").distinct()
 
 
-def entities(rows: DataFrame, contexts: list[str], per_token: int = 20_000) -> DataFrame:
+def entities(rows: DataFrame, contexts: dict[str, bool], per_token: int = 20_000) -> DataFrame:
     """(record, look, entity) of rows (record, name, code, and the context columns): records of one entity.
 
-    A context is a value that records of one entity may share: an official code, a group, a place, a web host. Records that
+    A context is a value that records of one entity may share: an official code or a group (True: sure, so that names need no more
+    than some q-grams in common), a place or a web host (False: names must be alike by themselves). Records that
     share one and have like names (similar()) are linked, and what is linked is closed to components: a name alone links
     nothing, as one name at another place is another entity, and neither does a context. Names are reduced to distinct
     (q-grams, departments, code) within a context before the join; equal ones are linked to the first.
     Null contexts link nothing; rows without a name, or whose name has no proper part, are linked to none. Null records are
     left out; records delivered again count once.
     """
-    blocks = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), F.col(c).cast("string"))) for c in contexts]))
+    blocks = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.xxhash64(F.lit(c), F.col(c).cast("string")).alias("block"), F.lit(sure).alias("sure"))) for c, sure in contexts.items()]))
     r = profiles(rows.where("record is not null").withColumn("_blocks", blocks).select("record", "name", "code", "_blocks"))
     r = cut(r.withColumn("pid", F.xxhash64("g", "depts", "code")))
     named = r.where("size(g) > 0")
     names = cut(weighted(named.select("pid", "depts", "code", "g", "a", "z").dropDuplicates(["pid"]), counted(named, "g")))
-    e = cut(named.select(F.explode("_blocks").alias("block"), "pid", "record").distinct())
-    same = cut(e.groupBy("block", "pid").agg(F.min("record").alias("id"), F.count("*").alias("n")))
+    e = cut(named.select(F.inline("_blocks"), "pid", "record").distinct())
+    same = cut(e.groupBy("block", "sure", "pid").agg(F.min("record").alias("id"), F.count("*").alias("n")))
     first = same.where("n > 1").select("block", "pid", F.col("id").alias("b"))
     links = salted_join(e, first, ["block", "pid"]).select(F.col("record").alias("a"), "b").where("a <> b")
-    comp = components(links.unionByName(similar(same.select("block", "pid", "id"), names, per_token)), "a", "b")
+    comp = components(links.unionByName(similar(same.select("block", "sure", "pid", "id"), names, per_token)), "a", "b")
     return r.select("record", "look").distinct().join(comp, F.col("record") == F.col("node"), "left").select("record", "look", F.coalesce("component", "record").alias("entity"))
 
 
