@@ -73,7 +73,7 @@ def test_times(spark):
 
 
 @pytest.mark.parametrize("said,days", [("土、日", "土曜・日曜"), ("日曜、その他に臨時休診あり", "日曜"), ("1月5日(月)から通常通り診療", ""), ("第2・4土曜", "第2土曜・第4土曜"), ("水曜・日曜", "水曜・日曜"), ("年中無休", "なし"), ("木・土日祝 年末年始", "木曜・土曜・日曜・祝日・年末年始"), (None, ""), ("平日", ""), ("第三火曜", "第3火曜")])
-def test_regular_days(said, days):
+def test_regular_days(spark, said, days):
     assert values(spark, [(said,)], clock.regular_days) == [days]
 
 

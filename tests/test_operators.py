@@ -80,7 +80,7 @@ def test_verify(spark):
     cands = spark.createDataFrame([("r", 0, "http://indeed.com/"), ("r", 1, "http://b"), ("r", 2, "http://c"), ("t", 0, "http://b")], "record string, idx int, url string")
     pages = spark.createDataFrame([("http://b", "<p>山田医院 甲市</p>"), ("http://c", "<p>山田医院 甲市 2-6-1 ０３-1234-5678</p>"), ("http://indeed.com/", "<p>03-1234-5678</p>")], "url string, html string")
     got = rows(verify.judge(recs, cands, pages), "record", "url", "confidence", "reason")
-    assert got == [("r", "http://c", "高", "電話一致・番地一致・施設名一致・市区町村一致（スコア8）"), ("s", "", "未検出", "候補0件すべて照合不一致"), ("t", "", "未検出", "候補1件すべて照合不一致（最有力 http://b）")]
+    assert got == [("r", "http://c", "高", "電話一致・番地一致・施設名一致・市区町村一致（スコア8）"), ("s", rules.NOT_FOUND, "未検出", "候補0件すべて照合不一致"), ("t", rules.NOT_FOUND, "未検出", "候補1件すべて照合不一致（最有力 http://b）")]
     hits = spark.createDataFrame([([("http://indeed.com", "", ""), ("", "", ""), ("http://a", "", "")],)], "h array<struct<url: string, title: string, snippet: string>>")
     assert [x.url for x in hits.select(verify.candidates(F.col("h")).alias("h")).first().h] == ["http://a"]
     e = spark.createDataFrame([(0, 2, 5), (1, 2, 5), (0, 4, 9), (0, 2, 2)], "idx int, p int, q int")
@@ -292,8 +292,8 @@ def test_subpages_hours_and_errors(spark, monkeypatch):
 
 
 def test_merged_details(spark):
-    audit = spark.createDataFrame([("1", "c", "u"), ("2", "d", "v"), ("", "", "w"), ("9", "c", "x")], "レコードID string, `医療機関コード（正）` string, ウェブサイトURL string")
-    det = spark.createDataFrame([("1", "z", "h1", 1), ("1", "z", "h2", 2), ("5", "d", "h3", 3), ("6", "c", None, 4)], "レコードID string, 医療機関コード string, 休診日 string, o int")
+    audit = spark.createDataFrame([("1", "c", "u"), ("2", "d", "v"), ("", "", "w"), ("9", "c", "x")], ["レコードID", "医療機関コード（正）", "ウェブサイトURL"])
+    det = spark.createDataFrame([("1", "z", "h1", 1), ("1", "z", "h2", 2), ("5", "d", "h3", 3), ("6", "c", None, 4)], ["レコードID", "医療機関コード", "休診日", "o"])
     got = enrich.merge_details(audit, det.withColumnRenamed("医療機関コード", "医療機関コード（正）"), "レコードID", ["医療機関コード", "医療機関コード（正）"], [F.col("o")])
     assert rows(got, "レコードID", "休診日", "hit") == [("", "", False), ("1", "h2", True), ("2", "h3", True), ("9", "", True)]
     assert rows(enrich.hit_rate(got), "n", "n_hit", "share") == [(4, 3, 0.75)] and enrich.hit_rate(got.where("false")).first().share is None
