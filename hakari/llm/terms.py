@@ -56,8 +56,6 @@ def frequencies(rows: DataFrame, record: str, terms: Column, heavy: int = 256, r
     else:
         base = salted_join(base, ids, ["_r"], "left")
     twice = F.coalesce("_again", F.lit(False)) | F.col("_r").isNull() | (F.size(F.array_distinct("_t")) < F.size("_t"))
-    again = base.where(twice).select("_r", F.explode("_t").alias("term")).groupBy("_r", "term").agg(F.count("*").alias("n")).select("term", F.col("n").alias("occurrences"), F.lit(1).cast("long").alias("records"))
-    once = base.where(~twice).select(F.explode("_t").alias("term"))
     top = heavy_terms(rows.select(terms.alias("_t")), "_t", heavy)
     shape = "term string, occurrences long, records long"
 
@@ -68,10 +66,12 @@ def frequencies(rows: DataFrame, record: str, terms: Column, heavy: int = 256, r
         here = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array([top[i] for i in here], pa.string()), pa.array(n[here]), pa.array(n[here])], names=["term", "occurrences", "records"])
 
-    one = F.lit(1).cast("long")
-    every = again.unionByName((once.where(~F.col("term").isin(top)) if top else once).select("term", one.alias("occurrences"), one.alias("records")))
+    each = base.select(twice.alias("_twice"), "_r", F.explode("_t").alias("term"))
+    light = each.where(F.col("_twice") | ~F.col("term").isin(top)) if top else each
+    light = light.groupBy("_twice", F.when(F.col("_twice"), F.col("_r")).alias("_r"), "term").agg(F.count("*").alias("occurrences"))
+    every = light.select("term", "occurrences", F.when(F.col("_twice"), F.lit(1).cast("long")).otherwise(F.col("occurrences")).alias("records"))
     if top:
-        every = every.unionByName(once.where(F.col("term").isin(top)).mapInArrow(count, shape))
+        every = every.unionByName(base.where(~twice).select(F.explode("_t").alias("term")).where(F.col("term").isin(top)).mapInArrow(count, shape))
     return every.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
 
 

@@ -328,7 +328,8 @@ def test_confidence_decides(spark, small):
     """The confidence alone, without the exact check, gives almost the same pairs."""
     from hakari.llm import catalogue
 
-    f = matching.scored(catalogue._two_sources(spark, small)).withColumn("agreed", F.expr(matching.AGREED)).cache()
+    folder = "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else small
+    f = matching.scored(catalogue._two_sources(spark, folder)).withColumn("agreed", F.expr(matching.AGREED)).cache()
     sure = f.where(f"confidence >= {matching.CUT}")
     assert sure.where("agreed").count() >= 0.97 * sure.count() and sure.count() < 0.6 * f.count()
     assert sure.where("agreed").count() >= 0.97 * f.where("agreed").count()
