@@ -208,6 +208,28 @@ def test_linkage_separates():
     assert places.linkage({}) == {}
 
 
+def test_chance_agreement_is_that_of_all_pairs(spark):
+    """By component, against every pair compared by itself; towns with an end in common, too."""
+    rnd = random.Random(3)
+    pick = lambda *x: rnd.choice(x)
+    data = {(pick(None, "1234567", "1234568", "7654321"), pick(None, "甲県", "乙県"), pick("", "丙市", "丙丁市", "戊辰市", "己町丙"), pick("", "北区", "南区", "南北区"), pick("", "町", "旭", "旭町", "旭ヶ丘", "旭丘", "岡旭", "丙旭", "戊己庚"), pick("1", "1-2")) for _ in range(400)}
+    data |= {(None, None, "丙丁", "", "戊己庚", "1"), (None, None, "丙", "", "丁戊己庚", "1"), (None, None, "丙", "丁", "戊己庚", "1"), (None, None, "己庚辛", "壬", "癸", "1"), (None, None, "己", "庚辛壬", "癸", "1")}
+    d = spark.createDataFrame([(i, *x) for i, x in enumerate(sorted(data, key=str))], "w long, zip string, pref string, city string, ward string, town string, lots string")
+    counts, near = places.by_chance(d)
+    side = lambda p: d.select(*[F.col(c).alias(f"{p}_{c}") for c in d.columns])
+    tx, ty = places._plain_town("x_"), places._plain_town("y_")
+    touch = (F.substring(tx, 1, 1) == F.substring(ty, 1, 1)) | (F.substring(tx, -1, 1) == F.substring(ty, -1, 1))
+    every = places.compared(side("x").join(side("y"), F.col("x_w") < F.col("y_w")), F.lit(False)).groupBy("levels", touch.alias("touch")).count().collect()
+    for j, c in enumerate(places.LEVELS):
+        if c in ("city", "ward", "zip", "pref"):
+            for level in range(places.LEVELS[c]):
+                want = sum(r["count"] for r in every if r.levels[j] == str(level))
+                assert counts["-" * j + str(level) + "-" * (5 - j)] == want, (c, level)
+    ends = [sum(r["count"] for r in every if r.touch and r.levels[2] == k) for k in "01"]
+    assert near == pytest.approx((ends[1] + 3) / (sum(ends) + 20))
+    assert places.by_chance(d.where("false"))[1] == 0.15
+
+
 def test_weights_decide_the_places_and_blocks_lose_few(spark, small, monkeypatch):
     """With all weights at one other pairs come out; with one block for each lot hardly any more do."""
     from hakari.llm import catalogue
