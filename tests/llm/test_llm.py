@@ -319,6 +319,24 @@ def test_names_decide_the_entities(spark, small, monkeypatch):
     assert len(pairs()) < 0.5 * len(got)
 
 
+def test_entities_take_chance_agreement_from_all_pairs(spark, small, monkeypatch):
+    from hakari.llm import catalogue
+
+    seen, whole = [], places.by_chance
+
+    def spied(plain):
+        seen.append((plain.count(), *whole(plain)))
+        return seen[-1][1:]
+
+    monkeypatch.setattr(places, "by_chance", spied)
+    catalogue._entities(spark, small)
+    (n, counts, _), each = seen[0], {}
+    for k, v in counts.items():
+        c = next(c for c, d in zip(places.LEVELS, k) if d != "-")
+        each[c] = each.get(c, 0) + v
+    assert n > 100 and each == dict.fromkeys(("city", "ward", "zip", "pref"), n * (n - 1) // 2)
+
+
 # 6: matching
 
 
