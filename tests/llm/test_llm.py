@@ -376,6 +376,23 @@ def test_confidence_decides(spark, small):
     f.unpersist()
 
 
+def test_all_records_and_labels_make_the_model(spark):
+    """With shards of 20 something is learned of every telephone that two records share; all labelled pairs are counted."""
+    n = 200
+    shape = "side int, id long, name string, addr string, pref string, phone string, code string, host string"
+    d = spark.createDataFrame([(side, i, "凪沼楠岸眼科医院", None, None, f"03{i:08d}", None, None) for side in (0, 1) for i in range(n)], shape)
+    r = matching.tokens_of(matching.described(d).na.fill("", ["phone", "code", "host"])).cache()
+    phones = np.array([x.t for x in r.selectExpr("tokens[5][0] t").distinct().collect()], np.int64)
+    none, learned = matching.fit_vectors(r, 20)
+    assert none is None and len(phones) == n and (np.abs(learned[phones & (matching.LEARNED - 1)]).sum(1) > 0).all()
+    assert (matching.fit_vectors(r, 20)[1] == pytest.approx(learned, abs=1e-3)) and not matching.fit_vectors(r.where("false"))[1].any()
+    r.unpersist()
+    pairs = spark.range(60_000).selectExpr("id a", "id b", "if(id % 3 = 0 or id % 7 = 0, 2, -1) code", "if(id % 5 = 0, 2, 0) name", "true place", "true phone", *[f"double(pmod(hash(id, '{k}'), 100)) / 100 {k}" for k in matching.SCORED if k not in ("place", "phone")])
+    known = [i for i in range(0, 60_000, 5)]
+    w, right = matching.calibrate(pairs)
+    assert right == (sum(i % 3 == 0 or i % 7 == 0 for i in known) + 10) / (len(known) + 10) and np.isfinite(w).all()
+
+
 def test_walks_go_from_record_to_record():
     groups = [(np.array([0, 2, 2, 3]), np.array([0, 1, 1])), (np.array([0, 0, 1, 2]), np.array([2, 2]))]
     lines = matching._walks(groups, 3, 5, 6, np.random.default_rng(1))
