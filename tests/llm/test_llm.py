@@ -255,6 +255,25 @@ def test_weights_decide_the_places_and_blocks_lose_few(spark, small, monkeypatch
     assert pairs() != got
 
 
+def test_long_chains_of_links_make_no_larger_plans(spark, monkeypatch):
+    joins, cut = [], places.cut
+
+    def spied(d, *a):
+        joins.append(d._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return cut(d, *a)
+
+    def most(towns):
+        joins.clear()
+        places.places(spark.createDataFrame([(i, f"甲市{t}1-2-3", "1234567", None) for i, t in enumerate(towns)], "record long, addr string, zip string, pref string"))
+        return max(joins)
+
+    monkeypatch.setattr(places, "cut", spied)
+    monkeypatch.setattr(places, "by_chance", lambda plain: ({}, 0.15))
+    monkeypatch.setattr(places, "linkage", lambda counts, *a: {k: float(k[2] > "0") for k in counts})
+    a, b = "旭鳩山桜鷺亀城榊柊葵雲森", "梅松竹菊藤萩桐杉楓椿桃柳"
+    assert most([b[:i] + a[i:-1] + "田" for i in range(12)]) == most(["旭山田", "旭川田"])
+
+
 # 4: variants
 
 
