@@ -182,6 +182,13 @@ def test_parse(said, parsed):
     assert address.parse(said) == parsed
 
 
+def test_parse_leaves_out_no_rare_form():
+    """Patterns that are only tried where one of their characters stands."""
+    assert address.parse("〒1234567 甲市乙 1 - 2 〜 3") == ("", "", "甲市乙", (1, 2, 3))
+    assert address.parse("甲市澤ヶ丘\u3000百二番\r\n 三号") == ("甲市", "", "沢ガ丘", (102, 3))
+    assert address.parse("甲ビル2F\u2003乙町〇三丁目４－５") == ("", "", "乙町", (3, 4, 5))
+
+
 def test_parse_finds_a_grid_behind_a_long_lead():
     assert address.parse("案内所の奥" * 13 + "柊浦市中央区北3条西17丁目4番5号")[3] == (3, 17, 4, 5)
 
@@ -274,6 +281,30 @@ def test_long_chains_of_links_make_no_larger_plans(spark, monkeypatch):
     assert most([b[:i] + a[i:-1] + "田" for i in range(12)]) == most(["旭山田", "旭川田"])
 
 
+def test_block_keys_are_made_once_without_patterns(spark, monkeypatch):
+    """A plan that goes through them makes each of the five keys once, and no pattern is matched."""
+    seen, hot = [], places.hot_keys
+
+    def spied(rows, *a, **k):
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return hot(rows, *a, **k)
+
+    monkeypatch.setattr(places, "hot_keys", spied)
+    places.places(spark.createDataFrame([(1, "甲市乙町1-2-3", "1234567", None), (2, "甲市乙1-2-3", "1234567", None)], "record long, addr string, zip string, pref string"))
+    assert seen[0].count("xxhash64(") == 5 and "regexp" not in seen[0]
+
+
+def test_places_without_patterns_are_as_with_them(spark):
+    towns = ["".join(x) for k in range(4) for x in itertools.product("町旭𠮷", repeat=k)]
+    d = spark.createDataFrame([(t,) for t in towns], "town string")
+    assert d.where(places._plain_town() != F.regexp_replace("town", "(?<=.)町+$", "")).count() == 0
+    d = spark.createDataFrame([(x,) for x in ("1-2", "12-345", "1-2-3-44")], "lots string")
+    assert d.where(places._outer_lots() != F.regexp_replace("lots", r"-\d+$", "")).count() == 0
+    zips = {"123-4567": "1234567", "1234567": "1234567", "〒１２３－４５６７": "1234567", "123-4567\n": "1234567", "1111111": None, "111-1111": None, "1111112": "1111112", "123-456": None, "12345678": None, "1234-567": "1234567", "": None, "x": None, None: None}
+    d = spark.createDataFrame([(k, v) for k, v in zips.items()], "z string, want string")
+    assert d.where(~places.zip_code(F.col("z")).eqNullSafe(F.col("want"))).count() == 0
+
+
 # 4: variants
 
 

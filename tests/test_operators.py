@@ -274,6 +274,15 @@ def test_skewed_joins_lose_and_add_nothing(spark):
     assert hot_keys(left, ["k"]) is None and hot_keys(left, ["k"], 300, 10) is None
 
 
+def test_hot_keys_are_the_same_when_spots_are_counted_first(spark):
+    from hakari.operators.skew import hot_keys
+
+    d = spark.range(900).selectExpr("if(id % 3 = 0, 'hot', if(id % 3 = 1, 'warm', concat('k', id))) k")
+    for spots in (1, 2, 64):
+        assert rows(hot_keys(d, ["k"], 100, 10, spots=spots), "k", "_salts") == rows(hot_keys(d, ["k"], 100, 10), "k", "_salts") == [("hot", 3), ("warm", 3)]
+        assert hot_keys(d, ["k"], 300, 10, spots=spots) is None and hot_keys(d.where("false"), ["k"], 0, spots=spots) is None
+
+
 def test_subpages_hours_and_errors(spark, monkeypatch):
     recs = spark.createDataFrame([(1, "山田眼科", "甲市1-2-3", "0312345678"), (2, "森内科", None, None)], "record long, name string, addr string, phone string")
     cands = spark.createDataFrame([(1, 0, "http://a.example/"), (2, 0, "http://b.example/")], "record long, idx int, url string")
